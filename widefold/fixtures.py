@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from widefold.functions.times import start_of
+from widefold.functions.times import start_of, ts_literal
 from widefold.model import wide_schema
 from widefold.operators.discovery import chunk_grid
 from widefold.operators.logs import PHASE_MARKER
@@ -32,14 +32,10 @@ def _complete(rows: DataFrame, given: dict[str, Column]) -> DataFrame:
     for field in wide_schema().fields:
         kind = field.dataType.simpleString()
         if field.name in given:
-            value = given[field.name]
-        elif kind.startswith("map"):
-            value = F.create_map()
-        elif kind == "string":
-            value = F.lit("")
+            columns.append(given[field.name].cast(field.dataType).alias(field.name))
         else:
-            value = F.lit(0)
-        columns.append(value.cast(field.dataType).alias(field.name))
+            default = "map()" if kind.startswith("map") else "''" if kind == "string" else "0"
+            columns.append(F.expr(f"CAST({default} AS {kind}) AS {field.name}"))
     return rows.select(*columns)
 
 
@@ -89,7 +85,7 @@ def wide_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A larger wide-map fact, one raw row per line item: a client is a supplier, a session an order."""
+    """A larger wide-map fact of one day, one raw row per line item: a client is a supplier, a session an order."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     supplier = F.col("l_suppkey")
     status = F.concat("l_returnflag", F.lit("_"), "l_linestatus")
@@ -97,13 +93,17 @@ def lineitem_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     def single(name: str, value: Column) -> Column:
         return F.create_map(F.concat(status, F.lit(name)), value.cast("int"))
 
-    minute_of_day = F.make_dt_interval(mins=(F.col("l_orderkey") % 1440).cast("int"))
+    second_of_day = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 86400
+    ts = ts_literal(FIRST_DAY) + F.make_dt_interval(secs=second_of_day.cast("decimal(18,6)"))
     given = {
-        "timestampMs": F.col("l_shipdate").cast("timestamp_ntz") + minute_of_day,
+        "timestampMs": ts,
         "customerId": supplier % 3,
         "clientId": supplier.cast("string"),
         "sessionId": F.col("l_orderkey").cast("string"),
         "flowId": F.col("l_returnflag"),
+        "flowStartTimeMs": ts,
+        "watermarkMs": ts,
+        "retentionDate": F.date_add(F.to_date(ts), 30),
         "platform": _pick(PLATFORMS, supplier),
         "deviceCategory": _pick(DEVICE_CATEGORIES, supplier),
         "countryIso": _pick(COUNTRIES, supplier),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from widefold.model import GROUP_KEYS, STANDARD_COLUMNS, flat_schema, group_columns
+from widefold.model import GROUP_KEYS, STANDARD_COLUMNS, group_columns
 from widefold.operators.discovery import discover_entries, tenants_of
 from widefold.operators.mapping import RANKS_PER_COLUMN, KeyMapping, slots
-from widefold.operators.preagg import SNAPSHOT_COLUMNS, at_grain, map_entries, snapshot_struct, union_all
+from widefold.operators.preagg import map_entries, representative, union_all
 from widefold.plans.small_side import join_lookup, materialise
 
 
@@ -25,38 +25,27 @@ def flatten(
     keeps its row, with zeros.
 
     Plan: map entries meet the mapping by broadcast and are summed per (group, slot), with the
-    sums begun inside each task. The summed entries and the raw rows' standard columns then share
-    one shuffle on the group keys. The summed entries of a group number at most the tenant's
-    slots, so the list collected there is bounded by the width of the table.
+    sums begun inside each task, so a group that holds a large share of all rows is shuffled as a
+    few rows. The summed entries of a group number at most the tenant's slots, so the list
+    collected per group is bounded by the width of the table. Both sides of the final join are
+    aggregated on the group keys, which are its keys, so it adds no shuffle. The two sides and the
+    two kinds read disjoint columns of the fact besides the keys.
     """
     if entries is None:
         entries = materialise(discover_entries(fact))
     check_tenants(entries, mapping)
     placed = materialise(slots(entries, mapping.keys, conflict))
-    parts = [at_grain(fact, grain, snapshot_struct().alias("snapshot"))]
-    widths = {"int": mapping.int_columns, "float": mapping.float_columns}
-    for kind, width in widths.items():
-        if width:
-            parts.append(slot_sums(fact, placed, kind, grain))
-    merged = union_all(parts).groupBy(*GROUP_KEYS).agg(
-        F.min("snapshot").alias("snapshot"), *[_slot_map(kind) for kind in widths if widths[kind]]
-    )
-    last_rank = {
-        (r["kind"], r["idx"]): r["last_rank"]
-        for r in placed.groupBy("kind", "idx")
-        .agg(F.max(F.col("slot") % RANKS_PER_COLUMN).alias("last_rank"))
-        .where("last_rank > 0")
-        .collect()
-    }
-    standard = [c if c in GROUP_KEYS else F.col(f"snapshot.{c}").alias(c) for c in STANDARD_COLUMNS]
+    widths = {k: n for k, n in (("int", mapping.int_columns), ("float", mapping.float_columns)) if n}
+    flat = representative(fact, grain)
+    if widths:
+        sums = union_all([slot_sums(fact, placed, kind, grain) for kind in widths])
+        flat = flat.join(sums.groupBy(*GROUP_KEYS).agg(*[_slot_map(kind) for kind in widths]), GROUP_KEYS, "left")
+    ranks = placed.groupBy("kind", "idx").agg(F.max(F.col("slot") % RANKS_PER_COLUMN).alias("last_rank"))
+    last_rank = {(r["kind"], r["idx"]): r["last_rank"] for r in ranks.where("last_rank > 0").collect()}
     positional = [
-        _slot_value(kind, idx, last_rank.get((kind, idx), 0)).alias(f"{kind}{idx}")
-        for kind, width in widths.items()
-        for idx in range(1, width + 1)
+        _slot_value(kind, idx, last_rank.get((kind, idx), 0)) for kind, n in widths.items() for idx in range(1, n + 1)
     ]
-    flat = merged.select(*standard, *positional)
-    schema = flat_schema(mapping.int_columns, mapping.float_columns)
-    return flat.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return flat.selectExpr(*STANDARD_COLUMNS, *positional)
 
 
 def check_tenants(entries: DataFrame, mapping: KeyMapping) -> None:
@@ -83,11 +72,12 @@ def _slot_map(kind: str) -> Column:
     return F.map_from_entries(F.collect_list(F.when(present, entry))).alias(f"{kind}_slots")
 
 
-def _slot_value(kind: str, idx: int, last_rank: int) -> Column:
-    held = F.col(f"{kind}_slots")
+def _slot_value(kind: str, idx: int, last_rank: int) -> str:
+    """SQL text of a positional column: its highest map column present, else 0."""
     first = idx * RANKS_PER_COLUMN
-    zero = F.lit(0) if kind == "int" else F.lit(0.0)
-    return F.coalesce(*[held[slot] for slot in range(first, first + last_rank + 1)], zero)
+    held = ", ".join(f"{kind}_slots[{slot}]" for slot in range(first, first + last_rank + 1))
+    stored = {"int": "BIGINT", "float": "FLOAT"}[kind]
+    return f"CAST(coalesce({held}, 0) AS {stored}) AS {kind}{idx}"
 
 
 def unmapped_keys(fact: DataFrame, mapping: KeyMapping) -> DataFrame:
@@ -109,6 +99,3 @@ def unmapped_keys(fact: DataFrame, mapping: KeyMapping) -> DataFrame:
 
 def _keys_or_none(group: str) -> Column:
     return F.coalesce(F.map_keys(group), F.array().cast("array<string>"))
-
-
-__all__ = ["SNAPSHOT_COLUMNS", "check_tenants", "flatten", "slot_sums", "unmapped_keys"]

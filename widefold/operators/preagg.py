@@ -35,11 +35,15 @@ def representative(fact: DataFrame, grain: str = "minute") -> DataFrame:
 
 
 def map_entries(fact: DataFrame, kind: str, grain: str = "minute") -> DataFrame:
-    """One row per map entry: group keys, group_no, key, value."""
-    maps = F.array(*[F.col(g) for g in group_columns(kind)])
+    """One row per map entry: group keys, group_no, key, value.
+
+    The time is cut before the maps are exploded, once per raw row.
+    """
+    groups = group_columns(kind)
     value_type = "bigint" if kind == "int" else "double"
     return (
-        at_grain(fact, grain, F.posexplode(maps).alias("pos", "map"))
+        at_grain(fact, grain, *groups)
+        .select(*GROUP_KEYS, F.posexplode(F.array(*groups)).alias("pos", "map"))
         .select(*GROUP_KEYS, (F.col("pos") + 1).alias("group_no"), F.explode("map").alias("key", "value"))
         .withColumn("value", F.col("value").cast(value_type))
     )

@@ -17,21 +17,14 @@ def column_profile(flat: DataFrame) -> DataFrame:
     one row per column.
     """
     names = [c for c in flat.columns if column_class(c) in ("int", "float")]
-    counts = [F.count_if(F.col(c) != 0).alias(f"{c}_used") for c in names]
-    sums = [F.sum(F.col(c).cast("double")).alias(f"{c}_sum") for c in names]
+    counts = [F.expr(f"count_if({c} != 0) AS {c}_used") for c in names]
+    sums = [F.expr(f"sum(CAST({c} AS DOUBLE)) AS {c}_sum") for c in names]
     wide = flat.groupBy(F.col("customerId").alias("customer_id")).agg(*counts, *sums)
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(column_class(c)).alias("column_class"),
-                F.col(f"{c}_used").alias("used_rows"),
-                F.col(f"{c}_sum").alias("total"),
-            )
-            for c in names
-        ]
-    )
-    return wide.select("customer_id", F.inline(entries))
+    cells = [
+        f"struct('{c}' AS column, '{column_class(c)}' AS column_class, {c}_used AS used_rows, {c}_sum AS total)"
+        for c in names
+    ]
+    return wide.selectExpr("customer_id", f"inline(array({', '.join(cells)}))")
 
 
 def class_profile(profile: DataFrame) -> DataFrame:

@@ -27,12 +27,12 @@ def flat_report(
     """
     located = materialise(locator.select("customer_id", "metric_key", "target_physical_column"))
     columns = sorted(r[0] for r in located.select("target_physical_column").distinct().collect())
-    sums = [F.sum(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in columns]
+    sums = [F.expr(f"sum(CASE WHEN {c} > 0 THEN {c} END) AS {c}") for c in columns]
     grouped = scan(flat, start, end).groupBy(F.col("customerId").alias("customer_id"), *shape_columns(shape)).agg(*sums)
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("target_physical_column"), F.col(c).alias("metric_sum")) for c in columns]
+    cells = ", ".join(f"struct('{c}' AS target_physical_column, {c} AS metric_sum)" for c in columns)
+    long = grouped.selectExpr("customer_id", *shape_names(shape), f"inline(array({cells}))").where(
+        "metric_sum IS NOT NULL"
     )
-    long = grouped.select("customer_id", *shape_names(shape), F.inline(cells)).where("metric_sum IS NOT NULL")
     joined = join_lookup(long, located, ["customer_id", "target_physical_column"])
     return joined.select(
         "customer_id", "metric_key", F.lit(QUERY_TYPES[shape]).alias("query_type"), *shape_names(shape), "metric_sum"
