@@ -27,7 +27,7 @@ def duration_text(seconds: Column) -> Column:
     """'12.3s' below a minute, else '4m 5s'."""
     minutes = F.floor(seconds / 60)
     rest = F.bround(seconds - minutes * 60, 0).cast("int")
-    return F.when(seconds < 60, F.format_string("%.1fs", seconds)).otherwise(
+    return F.when(seconds < 60, F.format_string("%.1fs", F.bround(seconds, 1))).otherwise(
         F.format_string("%dm %ds", minutes, rest)
     )
 

@@ -59,7 +59,10 @@ def read_numeric_json(spark: SparkSession, path: str) -> KeyMapping:
 
 
 def numeric_document(mapping: KeyMapping) -> DataFrame:
-    """The nested document as one row: max_columns and customers, with both directions per tenant."""
+    """The nested document as one row: max_columns and customers, with both directions per tenant.
+
+    The document is one JSON object, so it suits mappings that fit a file; write_mapping has no limit.
+    """
     by_idx = F.array_sort(F.collect_list(F.struct("idx", "key", "column")))
     per_kind = mapping.keys.groupBy("customer_id").pivot("kind", ["int", "float"]).agg(by_idx)
     none = F.array().cast("array<struct<idx:int,key:string,column:string>>")
@@ -79,7 +82,7 @@ def numeric_document(mapping: KeyMapping) -> DataFrame:
     widths = F.struct(
         F.lit(mapping.int_columns).alias("int_columns"), F.lit(mapping.float_columns).alias("float_columns")
     )
-    return listed.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("customers")).select(
+    return listed.agg(F.map_from_entries(F.collect_list(entry)).alias("customers")).select(
         widths.alias("max_columns"), "customers"
     )
 
