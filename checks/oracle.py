@@ -427,6 +427,13 @@ FROM (SELECT column_class, "column", sum(used_rows) AS used FROM profile GROUP B
 SELECT CAST(strftime(t, '%Y%m') AS INTEGER) AS month, customer_id, count(*) AS rows FROM groups GROUP BY ALL"""
     texts["rows_where"] = f"""WITH {CELL_VALUES}
 SELECT count(*) AS rows FROM metrics WHERE idx = 1 AND ival > 0 AND platform = 'ios'"""
+    kept = {"timestampMs": "ts", "clientId": "client", "sessionId": "session", "customerId": "customer_id", **_GIVEN}
+    columns = []
+    for field in flat_schema(0).fields:
+        kind = field.dataType.simpleString()
+        default = "''" if kind == "string" else "0"
+        columns.append(f'CAST({kept.get(field.name, default)} AS {_SQL_TYPES[kind]}) AS "{field.name}"')
+    texts["kept_columns"] = f"WITH {RAW} SELECT {', '.join(columns)} FROM raw"
     texts["key_presence"] = f"""WITH {BASE}
 SELECT customer_id, 'metricIntGroup' || first_group AS first_group, count(*) AS rows
 FROM (SELECT customer_id, event_id, min(group_no) AS first_group FROM entries WHERE kind = 'int' AND key = 'retries' GROUP BY ALL)

@@ -38,7 +38,7 @@ from widefold.operators import (
 from widefold.operators.mapping import KeyMapping
 from widefold.plans.stored import Stored, stored
 from widefold.sources.mappings import tag_document
-from widefold.sources.wide import count_where, scan
+from widefold.sources.wide import count_where, scan, without_excluded
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -259,6 +259,9 @@ def build() -> dict[str, Query]:
         "class_profile": on_tables(lambda t: profile.class_profile(profile.column_profile(t.flat))),
         "rows_by_month": on_tables(lambda t: profile.rows_by_month(t.flat)),
         "rows_where": on_tables(lambda t: count_where(t.flat, (F.col("int1") > 0) & (F.col("platform") == "ios"))),
+        "kept_columns": on_tables(
+            lambda t: without_excluded(t.wide).drop(*ints, *group_columns("float"))
+        ),
         "key_presence": on_tables(
             lambda t: t.wide.where(any_group_has(ints, "retries"))
             .groupBy(F.col("customerId").alias("customer_id"), first_group_with(ints, "retries").alias("first_group"))

@@ -14,7 +14,7 @@ RANKS_PER_COLUMN = 16  # more than the number of map columns of a kind
 
 @dataclass(frozen=True)
 class KeyMapping:
-    """A materialised mapping.
+    """A mapping whose keys are materialised.
 
     keys: customer_id, kind, key, idx, column.  tenants: customer_id.
     int_columns and float_columns are the width of the widest tenant.
@@ -49,14 +49,14 @@ def max_columns(mapping: DataFrame) -> DataFrame:
 
 
 def key_mapping(keys: DataFrame, tenants: DataFrame) -> KeyMapping:
-    """Materialise an assigned mapping and measure its width."""
+    """Materialise an assigned mapping and measure its width. tenants should be cheap to read again."""
     stored = materialise(keys)
     widths = {r["kind"]: r["max_columns"] for r in max_columns(stored).collect()}
-    return KeyMapping(stored, materialise(tenants), widths.get("int", 0), widths.get("float", 0))
+    return KeyMapping(stored, tenants, widths.get("int", 0), widths.get("float", 0))
 
 
 def mapping_from_entries(entries: DataFrame) -> KeyMapping:
-    """Mapping of all keys that a discovery found."""
+    """Mapping of all keys that a materialised discovery found."""
     return key_mapping(assign_columns(keys_of(entries)), tenants_of(entries))
 
 

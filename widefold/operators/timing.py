@@ -116,9 +116,9 @@ def view_overall(per_metric: DataFrame) -> DataFrame:
         F.struct(F.lit("direct_table").alias("access_type"), F.col("direct_mean").alias("mean")),
         F.struct(F.lit("through_view").alias("access_type"), F.col("view_mean").alias("mean")),
     )
-    means = per_metric.select(F.inline(sides))
-    mean_overhead = per_metric.agg(F.avg("overhead_percent").alias("avg_overhead_percent"))
-    return summary(means, ["access_type"], "mean", tails=True).join(F.broadcast(mean_overhead))
+    means = per_metric.select("overhead_percent", F.inline(sides))
+    mean_overhead = means.groupBy("access_type").agg(F.avg("overhead_percent").alias("avg_overhead_percent"))
+    return summary(means, ["access_type"], "mean", tails=True).join(mean_overhead, "access_type")
 
 
 def view_by_tenant(per_metric: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: s
     the same table; 'replace' replaces the whole table; 'append' adds to it.
 
     The rebalance hint shuffles by day and tenant and lets adaptive execution split the partition
-    of a large tenant into several files of the advisory size and join small ones.
+    of a large tenant into several files of the advisory size and join small ones. Adaptive
+    execution must be on, as it is by default.
     """
     modes = {"partitions": ("overwrite", "dynamic"), "replace": ("overwrite", "static"), "append": ("append", "static")}
     save_mode, overwrite = modes[mode]

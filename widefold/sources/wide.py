@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from widefold.functions.times import in_range
-from widefold.model import wide_schema
+from widefold.model import EXCLUDED_COLUMNS, wide_schema
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
@@ -50,6 +50,11 @@ def _day(value: date) -> Column:
     return F.lit(value.strftime("%Y-%m-%d")).cast("date")
 
 
+def without_excluded(fact: DataFrame) -> DataFrame:
+    """The fact without the columns that a flat table does not carry."""
+    return fact.drop(*EXCLUDED_COLUMNS)
+
+
 def count_where(df: DataFrame, condition: Column | str | None = None) -> DataFrame:
     """Number of rows that meet a condition."""
     rows = df if condition is None else df.where(condition)
