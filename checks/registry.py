@@ -36,6 +36,7 @@ from widefold.operators import (
     views,
 )
 from widefold.operators.mapping import KeyMapping
+from widefold.plans.small_side import materialise
 from widefold.plans.stored import Stored, stored
 from widefold.sources.mappings import tag_document
 from widefold.sources.wide import count_where, scan, without_excluded
@@ -181,7 +182,7 @@ def map_report(shape: str) -> Query:
 
 
 def both_reports(t: Stored) -> tuple[DataFrame, DataFrame]:
-    located = locator(t)
+    located = materialise(locator(t))
     old = report.map_report(t.wide, located, "dims", START, END)
     return old, report.flat_report(t.flat, located, "dims", START, END)
 

@@ -74,22 +74,25 @@ def key_lists(entries: DataFrame) -> DataFrame:
 
 def day_list(fact: DataFrame) -> DataFrame:
     """All days from the first to the last one of each tenant, with or without rows."""
-    day = F.to_date("timestampMs")
-    spans = fact.groupBy(F.col("customerId").alias("customer_id")).agg(
-        F.min(day).alias("first"), F.max(day).alias("last")
-    )
+    return _days_spanned(fact.select(F.col("customerId").alias("customer_id"), F.to_date("timestampMs").alias("day")))
+
+
+def _days_spanned(days: DataFrame) -> DataFrame:
+    spans = days.groupBy("customer_id").agg(F.min("day").alias("first"), F.max("day").alias("last"))
     return spans.select(
         "customer_id", F.explode(days_between(F.col("first"), F.col("last"))).alias("event_date")
     )
 
 
 def chunk_grid(fact: DataFrame, minutes: int) -> DataFrame:
-    """Raw rows of every chunk of every day of a tenant, 0 for a chunk without rows."""
-    grid = day_list(fact).select(
-        "customer_id", F.explode(chunk_starts(F.col("event_date"), minutes)).alias("chunk_start")
-    )
+    """Raw rows of every chunk of every day of a tenant, 0 for a chunk without rows.
+
+    The days come from the counted chunks, not from the fact, so the fact is read once.
+    """
     counted = fact.groupBy(
         F.col("customerId").alias("customer_id"),
         chunk_of(F.col("timestampMs"), minutes).alias("chunk_start"),
     ).agg(F.count("*").alias("raw_rows"))
+    days = _days_spanned(counted.select("customer_id", F.to_date("chunk_start").alias("day")))
+    grid = days.select("customer_id", F.explode(chunk_starts(F.col("event_date"), minutes)).alias("chunk_start"))
     return grid.join(counted, ["customer_id", "chunk_start"], "left").na.fill(0, ["raw_rows"])

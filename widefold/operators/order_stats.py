@@ -21,26 +21,21 @@ def order_statistics(
 ) -> DataFrame:
     """The by columns, and for each name the value at the 0-based position positions[name](n).
 
-    Equal values are counted together first. When a group has more distinct values than one task
-    should sort, its values are cut into ranges at approximate percentiles. The bounds are
-    materialised, so every stage sees the same ones. A running count over the ranges gives the
-    rank at which each begins, and each range is ranked by its own task. The result is exact
-    whatever the bounds are.
+    Equal values are counted together first, and the counts are materialised. When a group has
+    more distinct values than one task should sort, its values are cut into ranges at approximate
+    percentiles. The bounds are materialised, so every stage sees the same ones. A running count
+    over the ranges gives the rank at which each begins, and each range is ranked by its own task.
+    The result is exact whatever the bounds are.
     """
-    counted = samples.groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    ranged = _with_ranges(counted, by, values_per_task)
-    totals = ranged.groupBy(*by, "range_no").agg(F.sum("c").alias("in_range"))
-    earlier = Window.partitionBy(*by).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *by,
-        "range_no",
-        F.coalesce(F.sum("in_range").over(earlier), F.lit(0)).alias("range_start"),
-        F.sum("in_range").over(Window.partitionBy(*by)).alias("n"),
-    )
-    up_to = Window.partitionBy(*by, "range_no").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.join(starts, [*by, "range_no"]).withColumn(
-        "last", F.col("range_start") + F.sum("c").over(up_to)
-    )
+    counted = materialise(samples.groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("c")))
+    sizes = counted.groupBy(*by).agg(F.count("*").alias("values"))
+    largest = sizes.agg(F.max("values").alias("largest")).first()["largest"] or 0
+    if largest <= values_per_task:
+        whole = Window.partitionBy(*by)
+        ordered = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counted.select("*", F.sum("c").over(ordered).alias("last"), F.sum("c").over(whole).alias("n"))
+    else:
+        ranked = _ranked_by_range(counted, by)
     picks = []
     for name, position in positions.items():
         at = position(F.col("n")).cast("bigint")
@@ -49,16 +44,23 @@ def order_statistics(
     return ranked.groupBy(*by).agg(*picks)
 
 
-def _with_ranges(counted: DataFrame, by: list[str], values_per_task: int) -> DataFrame:
-    sizes = counted.groupBy(*by).agg(F.count("*").alias("values"))
-    largest = sizes.agg(F.max("values").alias("largest")).first()["largest"] or 0
-    if largest <= values_per_task:
-        return counted.withColumn("range_no", F.lit(0))
+def _ranked_by_range(counted: DataFrame, by: list[str]) -> DataFrame:
+    """Values with their count, the rank after their last copy, and the size of their group."""
     cuts = [i / BUCKETS for i in range(1, BUCKETS)]
     bounds = materialise(counted.groupBy(*by).agg(F.percentile_approx("v", cuts, 10 * BUCKETS).alias("bounds")))
     joined = join_lookup(counted, bounds, by, spread=["v"])
     below = F.size(F.filter("bounds", lambda bound: bound < F.col("v")))
-    return joined.select(*by, "v", "c", below.alias("range_no"))
+    ranged = joined.select(*by, "v", "c", below.alias("range_no"))
+    totals = ranged.groupBy(*by, "range_no").agg(F.sum("c").alias("in_range"))
+    earlier = Window.partitionBy(*by).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        *by,
+        "range_no",
+        F.coalesce(F.sum("in_range").over(earlier), F.lit(0)).alias("range_start"),
+        F.sum("in_range").over(Window.partitionBy(*by)).alias("n"),
+    )
+    up_to = Window.partitionBy(*by, "range_no").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(starts, [*by, "range_no"]).withColumn("last", F.col("range_start") + F.sum("c").over(up_to))
 
 
 def median_positions() -> dict[str, Callable[[Column], Column]]:

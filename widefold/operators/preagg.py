@@ -58,13 +58,19 @@ def sum_map_long(fact: DataFrame, kind: str, grain: str = "minute") -> DataFrame
     return map_entries(fact, kind, grain).groupBy(*GROUP_KEYS, "group_no", "key").agg(F.sum("value").alias("value"))
 
 
-def sum_maps(fact: DataFrame, kind: str, grain: str = "minute") -> DataFrame:
-    """The same sums as maps, one column per map column, NULL where a group has no entry."""
-    summed = sum_map_long(fact, kind, grain)
+def sum_maps(fact: DataFrame, kinds: tuple[str, ...] = ("int", "float"), grain: str = "minute") -> DataFrame:
+    """The same sums as maps, one column per map column, empty where a group has no entry.
+
+    The sums of a group number at most its distinct keys, so the lists collected here do not grow
+    with its rows.
+    """
+    summed = union_all([sum_map_long(fact, k, grain).withColumnRenamed("value", f"{k}_value") for k in kinds])
     maps = [
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.when(F.col("group_no") == n, F.struct("key", "value"))))
-        ).alias(name)
+        F.expr(
+            f"map_from_entries(collect_list(struct(key, {kind}_value))"
+            f" FILTER (WHERE group_no = {n} AND {kind}_value IS NOT NULL)) AS {name}"
+        )
+        for kind in kinds
         for n, name in enumerate(group_columns(kind), 1)
     ]
     return summed.groupBy(*GROUP_KEYS).agg(*maps)
@@ -72,15 +78,12 @@ def sum_maps(fact: DataFrame, kind: str, grain: str = "minute") -> DataFrame:
 
 def preaggregate(fact: DataFrame, grain: str = "minute", kinds: tuple[str, ...] = ("int", "float")) -> DataFrame:
     """Standard columns and summed maps of each group. A group without entries has empty maps."""
-    out = representative(fact, grain)
-    for kind in kinds:
-        out = out.join(sum_maps(fact, kind, grain), GROUP_KEYS, "left")
-    filled = {
-        g: F.coalesce(F.col(g), F.create_map().cast(f"map<string,{'bigint' if kind == 'int' else 'double'}>"))
-        for kind in kinds
-        for g in group_columns(kind)
-    }
-    return out.withColumns(filled).select(*STANDARD_COLUMNS, *filled)
+    joined = representative(fact, grain).join(sum_maps(fact, kinds, grain), GROUP_KEYS, "left")
+    value_types = {"int": "BIGINT", "float": "DOUBLE"}
+    maps = [
+        f"coalesce({g}, CAST(map() AS MAP<STRING, {value_types[kind]}>)) AS {g}" for kind in kinds for g in group_columns(kind)
+    ]
+    return joined.selectExpr(*STANDARD_COLUMNS, *maps)
 
 
 def compression_by_chunk(fact: DataFrame, minutes: int = 1, grain: str = "minute") -> DataFrame:
