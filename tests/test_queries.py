@@ -127,6 +127,8 @@ def test_report_equals_single_queries(loaded):
         assert {
             (r["country"],): r["metric_sum"] for r in rows if (r["customer_id"], r["metric_key"]) == (tenant, metric)
         } == single
+    with pytest.raises(ValueError, match="no metric"):
+        report.flat_report(load.flat, located.where("false"), "country", START, END)
     patterns = locate.pattern_rows(located)
     old = {tuple(r) for r in report.map_report(fact, patterns, "minute", START, END).collect()}
     new = {tuple(r) for r in report.flat_report(load.flat, patterns, "minute", START, END).collect()}

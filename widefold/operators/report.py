@@ -27,6 +27,8 @@ def flat_report(
     """
     located = materialise(locator.select("customer_id", "metric_key", "target_physical_column"))
     columns = sorted(r[0] for r in located.select("target_physical_column").distinct().collect())
+    if not columns:
+        raise ValueError("the locator holds no metric")
     sums = [F.expr(f"sum(CASE WHEN {c} > 0 THEN {c} END) AS {c}") for c in columns]
     grouped = scan(flat, start, end).groupBy(F.col("customerId").alias("customer_id"), *shape_columns(shape)).agg(*sums)
     cells = ", ".join(f"struct('{c}' AS target_physical_column, {c} AS metric_sum)" for c in columns)
