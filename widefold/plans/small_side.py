@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -12,22 +13,43 @@ SALTS = 64
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints: the one the session names, else a new one for this session."""
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="widefold-"))
-        folder = context.getCheckpointDir()
-    return folder
+    """This application's own folder for intermediate tables, in a place every executor can read.
+
+    It lies in spark.checkpoint.dir; where the session sets none, in its warehouse. A warehouse on
+    a local disk will do for a local master only: elsewhere each executor would write to its own.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        on_disk = "://" not in root or root.startswith("file:")
+        if on_disk and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root.rstrip('/')}/widefold-{spark.sparkContext.applicationId}"
+
+
+def clear_intermediates(spark: SparkSession) -> None:
+    """Delete all that this application has written there. Results not yet stored become unreadable."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """For the time of the block, results may be read; afterwards what they were made from is deleted."""
+    try:
+        yield
+    finally:
+        clear_intermediates(spark)
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write a result as a table in the checkpoint folder and read it back.
+    """Write a result as a table in the shared folder and read it back.
 
     Later plans read the table instead of repeating the work, and a lost executor loses nothing.
     Unlike checkpoint(), a table does not carry the filters that made it into later plans, where
-    they would be tested again on every row of the other side of a join.
+    they would be tested again on every row of the other side of a join. The table stays until
+    clear_intermediates, or the end of an intermediates block.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
