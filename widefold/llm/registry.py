@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from widefold.llm import decontaminate, language_id, line_dedup, packing, simhash
+from widefold.llm import decontaminate, exact_dedup, language_id, line_dedup, packing, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_dedup": exact_dedup.query,
         "op2_line_dedup": line_dedup.query,
         "op3_packing": packing.query,
         "op4_decontamination": decontaminate.query,
@@ -22,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_line_dedup": line_dedup.ORACLE_SQL}
