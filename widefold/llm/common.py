@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -33,3 +34,9 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     for name in names:
         condition = condition & left[name].eqNullSafe(right[name])
     return condition
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, worked out once. Spark may put the expression of a column in place of its name, and
+    inside a lambda it would then be worked out for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

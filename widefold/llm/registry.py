@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from widefold.llm import decontaminate, exact_dedup, language_id, line_dedup, packing, simhash
+from widefold.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    language_id,
+    licenses,
+    line_dedup,
+    packing,
+    quotations,
+    secrets,
+    simhash,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,11 +27,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.query,
         "op3_packing": packing.query,
         "op4_decontamination": decontaminate.query,
+        "op5_html_extraction": html_extract.query,
+        "op6_quotation_linking": quotations.query,
+        "op7_secret_scan": secrets.query,
         "op8_language_id": language_id.query,
+        "op9_license_scan": licenses.query,
         "op10_simhash": simhash.query,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_line_dedup": line_dedup.ORACLE_SQL,
+            "op6_quotation_linking": quotations.ORACLE_SQL}
