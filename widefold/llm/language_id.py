@@ -26,8 +26,8 @@ BUCKETS = 1 << BUCKET_BITS
 MAX_ORDER = 3
 #: Characters of a text handled at once, so that memory does not follow the longest text.
 WINDOW = 1 << 20
-#: About so many rows of each language are fitted and calibrated on.
-SAMPLE_PER_LANGUAGE = 1_000
+#: About so many rows are fitted and calibrated on, as many of each language as there are.
+SAMPLE_ROWS = 4_000
 UNKNOWN = "und"
 
 
@@ -100,19 +100,39 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return top / top.sum(axis=-1, keepdims=True)
 
 
-def fit_ftrl(x: np.ndarray, y: np.ndarray, classes: int, settings: Settings) -> np.ndarray:
-    """Weights of a multinomial model, per coordinate by FTRL-proximal steps over mini-batches."""
-    z = np.zeros((x.shape[1], classes))
+class Sample:
+    """Counts of the sampled rows, kept sparse; a batch of rows becomes dense features when asked for."""
+
+    def __init__(self, rows: list, languages: tuple[str, ...], idf: np.ndarray):
+        self.buckets = [np.frombuffer(r["buckets"], "<u2") for r in rows]
+        self.counts = [np.frombuffer(r["counts"], "<u4") for r in rows]
+        self.y = np.array([languages.index(r["lang"]) for r in rows])
+        self.idf = idf
+
+    def features(self, rows: np.ndarray) -> np.ndarray:
+        dense = np.zeros((len(rows), BUCKETS))
+        for at, i in enumerate(rows):
+            dense[at, self.buckets[i]] = self.counts[i]
+        return features(dense, self.idf)
+
+    def scores(self, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.features(rows[i : i + 64]) @ weights for i in range(0, len(rows), 64)])
+
+
+def fit_ftrl(sample: Sample, rows: np.ndarray, classes: int, settings: Settings) -> np.ndarray:
+    """Weights of a multinomial model, per coordinate by FTRL-proximal steps over mini-batches of the rows."""
+    z = np.zeros((BUCKETS + 1, classes))
     n = np.zeros_like(z)
     weights = np.zeros_like(z)
     order = np.random.default_rng(0)
     for _ in range(settings.epochs):
-        shuffled = order.permutation(len(x))
+        shuffled = order.permutation(rows)
         for at in range(0, len(shuffled), settings.batch):
-            rows = shuffled[at : at + settings.batch]
-            wrong = softmax(x[rows] @ weights)
-            wrong[np.arange(len(rows)), y[rows]] -= 1
-            gradient = x[rows].T @ wrong
+            batch = shuffled[at : at + settings.batch]
+            x = sample.features(batch)
+            wrong = softmax(x @ weights)
+            wrong[np.arange(len(batch)), sample.y[batch]] -= 1
+            gradient = x.T @ wrong
             step = (np.sqrt(n + gradient**2) - np.sqrt(n)) / settings.alpha
             z += gradient - step * weights
             n += gradient**2
@@ -160,16 +180,16 @@ def sparse_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, lang, spare in zip(batch["text"], batch["lang"], batch["spare"], strict=True):
             counts = ngram_counts(text)
             found = np.flatnonzero(counts)
-            rows.append((lang, spare, found.astype(np.int32), counts[found].astype(np.int32)))
+            rows.append((lang, spare, found.astype("<u2").tobytes(), counts[found].astype("<u4").tobytes()))
         yield pd.DataFrame(rows, columns=["lang", "spare", "buckets", "counts"])
 
 
-def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, settings: Settings = Settings()) -> LanguageModel:
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, settings: Settings = Settings()) -> LanguageModel:
     """Fit a model on the rows that are not held out and have a language.
 
     Document frequencies come from all of them. Weights and temperature come from about
-    `per_language` rows of each language, chosen by a hash; only their counts, at most BUCKETS
-    numbers a row, reach the driver.
+    `sample_rows` rows, the same share for each language, chosen by a hash; only their counts, at most
+    BUCKETS numbers a row, reach the driver.
     """
     rows = docs.where(~held_out() & F.col("lang").isNotNull()).select("doc_id", whole_text().alias("text"), "lang")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -187,28 +207,24 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, settings: Se
     scale = 1_000_000
     share = F.lit(0)
     for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(scale, per_language * scale // n + 1))).otherwise(share)
+        share = F.when(F.col("lang") == lang, F.lit(min(scale, sample_rows * scale // (n * len(sizes)) + 1))).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale))
     chosen = rows.where(place < share).withColumn("spare", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 0)
     sample = chosen.select("text", "lang", "spare").mapInPandas(
-        sparse_counts, "lang string, spare boolean, buckets array<int>, counts array<int>"
+        sparse_counts, "lang string, spare boolean, buckets binary, counts binary"
     ).collect()
     # Spark gives rows in no fixed order; training on a fixed one makes the model the same each time.
     sample = [r for r in sample if r["buckets"]]
     sample.sort(key=lambda r: (r["lang"], r["buckets"], r["counts"]))
     if not sample:
         return LanguageModel((), idf, np.zeros((BUCKETS + 1, 0)), 1.0)
-    x = np.zeros((len(sample), BUCKETS), np.float32)
-    for i, r in enumerate(sample):
-        x[i, r["buckets"]] = r["counts"]
-    x = features(x, idf.astype(np.float32)).astype(np.float32)
-    y = np.array([languages.index(r["lang"]) for r in sample])
     spare = np.array([r["spare"] for r in sample])
     if spare.all() or not spare.any():
         spare = np.arange(len(sample)) % 5 == 0
-    fitted_on = ~spare if (~spare).any() else spare
-    weights = fit_ftrl(x[fitted_on], y[fitted_on], len(languages), settings)
-    return LanguageModel(languages, idf, weights, fit_temperature(x[spare] @ weights, y[spare]))
+    counts = Sample(sample, languages, idf)
+    learned, kept = np.flatnonzero(~spare), np.flatnonzero(spare)
+    weights = fit_ftrl(counts, learned if len(learned) else kept, len(languages), settings)
+    return LanguageModel(languages, idf, weights, fit_temperature(counts.scores(kept, weights), counts.y[kept]))
 
 
 def predictor(model: LanguageModel, spark: SparkSession):
