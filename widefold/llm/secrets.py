@@ -40,7 +40,7 @@ RANDOM_VALUES = 20_000
 UNIFORM_WEIGHT = 20.0
 SMOOTHING = 0.5
 #: Least log-likelihood ratio of a token to a character, in nats.
-THRESHOLD = 1.0
+THRESHOLD = 1.8
 
 
 @dataclass(frozen=True)
