@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -10,6 +11,7 @@ import duckdb
 from pyspark.sql import SparkSession
 
 from checks import oracle, registry
+from widefold.plans.small_side import clear_intermediates
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
@@ -56,6 +58,7 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", os.environ.get("CHECKPOINT_DIR", "/tmp/checkpoints"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -74,6 +77,7 @@ def main() -> int:
             difference = f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(difference)
         print(f"{'FAIL' if difference else 'ok':5}{name:28}{time.time() - begin:6.2f}s {difference[:1500]}", flush=True)
+    clear_intermediates(spark)
     print(f"{len(names) - failed} of {len(names)} equal")
     return failed
 

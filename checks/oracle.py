@@ -6,6 +6,7 @@ the derived fact, its map entries and the key numbering once.
 
 from __future__ import annotations
 
+from checks import oracle_stores
 from widefold.model import STANDARD_COLUMNS, flat_schema
 
 INT_COLUMNS = 12
@@ -340,25 +341,7 @@ FROM tags WINDOW w AS (PARTITION BY customer_id ORDER BY key DESC)"""
     texts["string_columns"] = f"""WITH {RAW},
 {TAGS}
 SELECT CAST(max(n) AS INTEGER) AS string_columns FROM (SELECT customer_id, count(*) AS n FROM tags GROUP BY customer_id)"""
-    texts["sum_map_long"] = f"""WITH {BASE}
-SELECT date_trunc('day', ts) AS "timestampMs", client AS "clientId", session AS "sessionId", customer_id AS "customerId",
-  CAST(group_no AS INTEGER) AS group_no, key, CAST(sum(ival) AS BIGINT) AS value
-FROM entries WHERE kind = 'int' GROUP BY ALL"""
-    for grain in ("minute", "day"):
-        texts[f"preagg_{grain}"] = f"""WITH {BASE},
-{groups(grain)},
-sums AS (
-  SELECT date_trunc('{grain}', ts) AS t, client, session, customer_id,
-    CAST(sum(ival) FILTER (WHERE group_no = 1 AND kind = 'int') AS BIGINT) AS success,
-    coalesce(CAST(sum(ival) FILTER (WHERE group_no = 2) AS BIGINT), 0) AS duration,
-    CAST(sum(ival) FILTER (WHERE group_no = 15) AS BIGINT) AS event_count,
-    coalesce(CAST(sum(ival) FILTER (WHERE group_no = 9) AS BIGINT), 0) AS retries,
-    round(sum(dval), 4) AS float_total
-  FROM entries GROUP BY ALL)
-SELECT t AS "timestampMs", client AS "clientId", session AS "sessionId", customer_id AS "customerId",
-  s.appVersion AS "appVersion", s.watermarkMs AS "watermarkMs", s.partitionId AS "partitionId", s.platform AS platform,
-  success, duration, event_count, retries, float_total
-FROM groups JOIN sums USING (t, client, session, customer_id)"""
+    for grain in ("minute", "hour", "day"):
         texts[f"flatten_{grain}"] = f"WITH {flat(grain)}\nSELECT * FROM flat"
     texts["flatten_day_sum"] = f"WITH {flat('day', 'sum')}\nSELECT * FROM flat"
     texts["unmapped_keys"] = f"""WITH {BASE},
@@ -457,6 +440,13 @@ SELECT {locator} FROM located WHERE metric_key IN ('event_count', 'retries')"""
     texts["pattern_rows"] = f"""WITH {BASE},
 {FLOWS}
 SELECT {locator.replace('flowid,', "'ALL' AS flowid,", 1)} FROM located WHERE metric_key = '{COUNT_METRIC}'"""
+    for shape, column in (("cell", "t"), ("raw", "ts")):
+        bounded = f"WHERE {column} < TIMESTAMP '{WINDOW_END}' AND ival > 0"
+        name = "metric_report_minute_window" if shape == "cell" else "metric_report_map_minute_window"
+        text = f"WITH {CELL_VALUES}\n{flat_report_sql('minute')}" if shape == "cell" else (
+            f"WITH {BASE},\n{FLOWS}\n{map_report_sql('minute', all_flows=True)}"
+        )
+        texts[name] = text.replace("WHERE ival > 0", bounded).replace("'groupby_minute'", "'groupby_minute_filtered'")
     for shape in SHAPES:
         texts[f"metric_report_{shape}"] = f"WITH {CELL_VALUES}\n{flat_report_sql(shape)}"
         texts[f"metric_report_map_{shape}"] = (
@@ -538,4 +528,4 @@ SELECT totals.* EXCLUDE (finished), date_diff('millisecond', begun.first, finish
   CAST(floor(date_diff('millisecond', begun.first, finished) / 60000) AS INTEGER) || 'm '
     || CAST(round(date_diff('millisecond', begun.first, finished) % 60000 / 1000) AS INTEGER) || 's' AS total_time_text
 FROM totals JOIN begun USING (customer_id)"""
-    return texts
+    return texts | oracle_stores.build()

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks import stores
 from checks.oracle import (
     CHUNK_MINUTES,
     COUNT_METRIC,
@@ -17,7 +18,8 @@ from checks.oracle import (
     TENANT,
     WINDOW_HOURS,
 )
-from widefold.fixtures import load_log, timing_samples, wide_fact
+from checks.stores import DIGITS, rounded
+from widefold.fixtures import timing_samples, wide_fact
 from widefold.functions.maps import any_group_has, first_group_with, map_value
 from widefold.functions.times import window_end
 from widefold.model import group_columns
@@ -25,7 +27,6 @@ from widefold.operators import (
     discovery,
     flatten,
     locate,
-    logs,
     mapping,
     metrics,
     preagg,
@@ -42,7 +43,6 @@ from widefold.sources.mappings import tag_document
 from widefold.sources.wide import count_where, scan, without_excluded
 
 Query = Callable[[SparkSession, str], DataFrame]
-DIGITS = 6
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Stored:
@@ -58,11 +58,6 @@ def on_samples(query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(query(timing_samples(spark, sf_dir)), DIGITS)
 
 
-def rounded(df: DataFrame, digits: int) -> DataFrame:
-    """Doubles rounded, so that the order of additions does not show."""
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
-
-
 def plain_floats(df: DataFrame) -> DataFrame:
     """Float columns as rounded doubles, without the storage column of the day."""
     names = [c for c in df.columns if c != "eventDate"]
@@ -99,26 +94,6 @@ def unmapped(t: Stored) -> DataFrame:
 # ---- pre-aggregation and flattening -----------------------------------------------------------
 
 
-def preaggregated(grain: str) -> Query:
-    def query(t: Stored) -> DataFrame:
-        rows = preagg.preaggregate(t.wide, grain)
-
-        def total(group: str, zero: str) -> F.Column:
-            return F.aggregate(F.map_values(group), F.lit(0).cast(zero), lambda a, b: a + b)
-
-        return rows.select(
-            "timestampMs", "clientId", "sessionId", "customerId",
-            "appVersion", "watermarkMs", "partitionId", "platform",
-            total("metricIntGroup1", "bigint").alias("success"),
-            total("metricIntGroup2", "bigint").alias("duration"),
-            total("metricIntGroup15", "bigint").alias("event_count"),
-            total("metricIntGroup9", "bigint").alias("retries"),
-            F.round(total("metricFloatGroup1", "double"), 4).alias("float_total"),
-        )
-
-    return on_tables(query)
-
-
 def flattened(grain: str, conflict: str = "last") -> Query:
     return on_tables(lambda t: plain_floats(flatten.flatten(t.wide, t.mapping, t.entries, grain, conflict)))
 
@@ -171,14 +146,19 @@ def selected_locator(t: Stored) -> DataFrame:
     return locate.metric_locator(t.wide, t.mapping.keys, wanted)
 
 
+def end_of(shape: str) -> str:
+    """The end of a report's range; a bounded one ends with the window."""
+    return str(window_end(START, WINDOW_HOURS)) if shape == "minute_window" else END
+
+
 def flat_report(shape: str) -> Query:
-    return on_tables(lambda t: report.flat_report(t.flat, locator(t), shape, START, END))
+    return on_tables(lambda t: report.flat_report(t.flat, locator(t), shape, START, end_of(shape)))
 
 
 def map_report(shape: str) -> Query:
     """Shapes other than 'dims' read the pattern metric over all flows."""
     rows = locator if shape == "dims" else lambda t: locate.pattern_rows(locator(t))
-    return on_tables(lambda t: report.map_report(t.wide, rows(t), shape, START, END))
+    return on_tables(lambda t: report.map_report(t.wide, rows(t), shape, START, end_of(shape)))
 
 
 def both_reports(t: Stored) -> tuple[DataFrame, DataFrame]:
@@ -191,26 +171,6 @@ def totals(t: Stored) -> DataFrame:
     return validate.compare_totals(*both_reports(t))
 
 
-# ---- logs -------------------------------------------------------------------------------------
-
-
-def log_events(t: Stored) -> DataFrame:
-    events = logs.after_marker(logs.parse_events(load_log(t.wide)))
-    return events.groupBy("event").agg(F.count("*").alias("events"))
-
-
-def log_chunks(t: Stored) -> DataFrame:
-    names = [
-        "customer_id", "chunk_no", "period", "started", "raw_rows", "agg_rows", "ratio",
-        "aggregate_seconds", "transform_seconds", "insert_seconds", "total_seconds",
-    ]
-    return logs.chunks(load_log(t.wide)).where("is_complete").select(*names)
-
-
-def log_tenant_stats(t: Stored) -> DataFrame:
-    return rounded(logs.tenant_stats(logs.chunks(load_log(t.wide))), DIGITS)
-
-
 def build() -> dict[str, Query]:
     event_group = "metricIntGroup15"
     window = str(window_end(START, WINDOW_HOURS))
@@ -229,10 +189,8 @@ def build() -> dict[str, Query]:
         "normalise_tags": on_tables(lambda t: joined_keys(mapping.normalise_tags(tag_lists(t)))),
         "tag_columns": on_tables(lambda t: mapping.tag_mapping(mapping.normalise_tags(tag_lists(t)))),
         "string_columns": on_tables(lambda t: mapping.string_columns_needed(mapping.normalise_tags(tag_lists(t)))),
-        "sum_map_long": on_tables(lambda t: preagg.sum_map_long(t.wide, "int", "day")),
-        "preagg_minute": preaggregated("minute"),
-        "preagg_day": preaggregated("day"),
         "flatten_minute": flattened("minute"),
+        "flatten_hour": flattened("hour"),
         "flatten_day": flattened("day"),
         "flatten_day_sum": flattened("day", "sum"),
         "unmapped_keys": on_tables(unmapped),
@@ -292,11 +250,10 @@ def build() -> dict[str, Query]:
         "view_overhead": on_samples(lambda s: timing.largest_overhead_first(timing.view_overhead(s))),
         "view_overall": on_samples(lambda s: timing.view_overall(timing.view_overhead(s))),
         "view_by_tenant": on_samples(lambda s: timing.view_by_tenant(timing.view_overhead(s))),
-        "log_events": on_tables(log_events),
-        "log_chunks": on_tables(log_chunks),
-        "log_tenant_stats": on_tables(log_tenant_stats),
     }
-    for shape in metrics.SHAPES:
+    out |= {name: on_tables(query) for name, query in stores.on_tables().items()}
+    out |= stores.on_folder()
+    for shape in report.QUERY_TYPES:
         out[f"metric_report_{shape}"] = flat_report(shape)
         out[f"metric_report_map_{shape}"] = map_report(shape)
     return out

@@ -120,7 +120,7 @@ def brute_force(rows, columns):
 
 @pytest.mark.parametrize("limit", [small_side.BROADCAST_LIMIT_BYTES, 0])
 def test_against_brute_force(wide, monkeypatch, limit):
-    monkeypatch.setattr(small_side.join_lookup, "__defaults__", ("inner", None, limit))
+    monkeypatch.setattr(small_side.join_lookup, "__defaults__", ("inner", limit))
     rows = random_rows(600, seed=7)
     flat, keys = flat_rows(wide(rows))
     columns = {(r["customer_id"], r["kind"], r["key"]): r["column"] for r in keys.keys.collect()}
@@ -135,7 +135,7 @@ def test_against_brute_force(wide, monkeypatch, limit):
 def test_a_large_lookup_is_not_broadcast(wide, spark):
     fact = wide([{"customerId": 1, "clientId": str(i)} for i in range(20)])
     lookup = spark.createDataFrame([(1, "x")], "customerId int, label string")
-    joined = small_side.join_lookup(fact, lookup, ["customerId"], "left", ["clientId"], limit_bytes=0)
+    joined = small_side.join_lookup(fact, lookup, ["customerId"], "left", limit_bytes=0)
     plan = joined._jdf.queryExecution().sparkPlan().toString()
     assert "Broadcast" not in plan and joined.where("label = 'x'").count() == 20
 
@@ -163,7 +163,7 @@ def test_map_plan_shuffles_partial_sums_and_broadcasts_the_mapping(wide, spark,
     wide([{"metricIntGroup1": {"a": 1}}]).write.parquet(path)
     flat, _ = flat_rows(spark.read.parquet(path))
     plan = flat._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("Exchange hashpartitioning") == 2
     assert "partial_sum" in plan and "partial_min" in plan
     assert "BatchEvalPython" not in plan and "RLIKE" not in plan
 
@@ -173,3 +173,15 @@ def test_entries_may_be_reused(wide):
     entries = discover_entries(fact)
     keys = mapping.mapping_from_entries(entries)
     assert flattening.flatten(fact, keys, entries).first()["int1"] == 1
+
+
+def test_null_group_keys_keep_their_sums(wide):
+    rows = [
+        {"clientId": client, "sessionId": session, "metricIntGroup1": {"k": 5}, "metricFloatGroup1": {"f": 0.5}}
+        for client, session in ((None, "s"), (None, "s"), ("c", None), (None, None))
+    ]
+    flat, _ = flat_rows(wide(rows))
+    got = {(r["clientId"], r["sessionId"]): (r["int1"], r["float1"]) for r in flat.collect()}
+    assert got == {(None, "s"): (10, 1.0), ("c", None): (5, 0.5), (None, None): (5, 0.5)}
+    maps = {(r["clientId"], r["sessionId"]): r["metricIntGroup1"] for r in preagg.preaggregate(wide(rows)).collect()}
+    assert maps == {(None, "s"): {"k": 10}, ("c", None): {"k": 5}, (None, None): {"k": 5}}

@@ -1,12 +1,15 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import at
 from widefold.model import flat_schema
 from widefold.operators import locate, metrics, profile, report, validate, views
 from widefold.plans.day_load import load_days
+from widefold.plans.small_side import clear_intermediates, intermediates, materialise, shared_folder
 from widefold.sources import flat as flat_source
+from widefold.sources.wide import read_wide, write_wide
 
 START, END = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 
@@ -191,6 +194,104 @@ def test_write_modes(wide, spark, tmp_path):
     assert stored() == [(1, 3, 7)]
 
 
+def key_totals(load):
+    names = {(r["customer_id"], r["column"]): r["key"] for r in load.mapping.keys.collect()}
+    columns = sorted({c for _, c in names})
+    totals = {}
+    for row in load.flat.collect():
+        for c in columns:
+            if row[c]:
+                key = (row["customerId"], names[row["customerId"], c])
+                totals[key] = totals.get(key, 0) + row[c]
+    return totals
+
+
+def keyed_rows(wide, day, *keys):
+    return wide([{"customerId": 1, "timestampMs": at(days=day), "metricIntGroup1": {k: day + 1 for k in keys}}])
+
+
+def test_numbers_keep_their_meaning_over_loads(wide, tmp_path):
+    path = str(tmp_path / "flat")
+    load_days(keyed_rows(wide, 0, "b", "gone"), path)
+    # A new key sorts before the known ones, and one of these is missing.
+    load = load_days(keyed_rows(wide, 1, "a", "b"), path)
+    assert key_totals(load) == {(1, "b"): 3, (1, "gone"): 1, (1, "a"): 2}
+    # The same load again, and one that adds to the table.
+    load = load_days(keyed_rows(wide, 1, "a", "b"), path)
+    assert key_totals(load) == {(1, "b"): 3, (1, "gone"): 1, (1, "a"): 2}
+    load = load_days(keyed_rows(wide, 2, "0", "a"), path, mode="append")
+    assert key_totals(load) == {(1, "b"): 3, (1, "gone"): 1, (1, "a"): 5, (1, "0"): 3}
+    numbers = {r["key"]: r["idx"] for r in load.mapping.keys.collect()}
+    assert numbers == {"b": 1, "gone": 2, "a": 3, "0": 4}
+    # Another tenant comes in, and the table begins anew.
+    other = keyed_rows(wide, 3, "x").withColumn("customerId", F.lit(2))
+    assert key_totals(load_days(other, path))[2, "x"] == 4
+    assert key_totals(load_days(keyed_rows(wide, 4, "z"), path, mode="replace")) == {(1, "z"): 5}
+
+
+def test_a_given_mapping_is_extended(wide, tmp_path):
+    first = load_days(keyed_rows(wide, 0, "b"), str(tmp_path / "one"))
+    second = load_days(keyed_rows(wide, 0, "a", "b"), str(tmp_path / "two"), mapping=first.mapping)
+    assert {r["key"]: r["idx"] for r in second.mapping.keys.collect()} == {"b": 1, "a": 2}
+
+
+def test_columns_that_older_files_lack_are_zero_and_conditions_reach_them(wide, spark, tmp_path):
+    path = str(tmp_path / "flat")
+    load_days(keyed_rows(wide, 0, "b"), path)
+    flat = load_days(keyed_rows(wide, 1, "c"), path).flat
+    assert sorted((r["int1"], r["int2"]) for r in flat.collect()) == [(0, 2), (1, 0)]
+    assert flat.where("int2 > 0").count() == 1 and flat.where("int2 = 0").count() == 1
+    plan = spark._jvm.PythonSQLUtils.explainString(flat.where("int2 > 0")._jdf.queryExecution(), "formatted")
+    assert "GreaterThan(int2,0)" in next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+
+
+@pytest.mark.parametrize("sort_key", ["client", "hour"])
+def test_files_of_a_large_tenant_do_not_overlap(wide, spark, tmp_path, sort_key):
+    path = str(tmp_path / "flat")
+    rows = wide([{"customerId": 1}]).crossJoin(spark.range(4000)).withColumns(
+        {"clientId": F.lpad(F.pmod(F.xxhash64("id"), F.lit(997)).cast("string"), 4, "0"), "sessionId": F.col("id").cast("string")}
+    ).withColumn("timestampMs", F.expr("timestampMs + make_dt_interval(0, id % 20)")).drop("id")
+    rows = rows.unionByName(wide([{"customerId": 2}]))
+    flat = rows.drop(*[c for c in rows.columns if "Group" in c], "flowId", "flowStartTimeMs")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        flat_source.write_flat(flat, path, sort_key=sort_key)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(path)
+    per_tenant = dict(files.groupBy("customerId").agg(F.countDistinct(F.col("_metadata.file_path"))).collect())
+    assert per_tenant[1] > 1
+    assert {tuple(r) for r in flat_source.file_overlaps(files, sort_key).collect()} == {(1, 0), (2, 0)}
+    # The measure does see overlaps.
+    shuffled = str(tmp_path / "shuffled")
+    files.repartition(3).write.partitionBy("eventDate", "customerId").parquet(shuffled)
+    assert dict(flat_source.file_overlaps(spark.read.parquet(shuffled), sort_key).collect())[1] == 2
+
+
+def test_day_folders_of_the_raw_fact_are_pruned(wide, spark, tmp_path):
+    path = str(tmp_path / "wide")
+    write_wide(wide([{"timestampMs": at(days=d), "metricIntGroup1": {"k": 1}} for d in range(3)]), path)
+    fact = read_wide(spark, path, by_date=True)
+    query = metrics.map_metric(fact, 0, "metricIntGroup1", "k", "country", START, END)
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "eventDate" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert sums(query) == {(0,): 1}
+    assert sums(metrics.map_metric(fact, 0, "metricIntGroup1", "k", "country", START, "2024-01-04 00:00:00")) == {(0,): 3}
+
+
+def test_map_report_reads_the_located_maps_only(loaded, spark, tmp_path):
+    fact, load = loaded
+    path = str(tmp_path / "wide")
+    fact.write.parquet(path)
+    located = locate.metric_locator(fact, load.mapping.keys).where("metric_key = 'event_count'")
+    df = report.map_report(read_wide(spark, path), located, "minute_window", START, END)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "/wide" in line)
+    assert "metricIntGroup3" in scan and "metricIntGroup1:" not in scan and "metricFloat" not in scan
+    assert {r["query_type"] for r in df.collect()} == {"groupby_minute_filtered"}
+
+
 @pytest.mark.parametrize("sort_key", ["client", "hour"])
 def test_rows_are_sorted_inside_files(wide, spark, tmp_path, sort_key):
     rows = [{"clientId": f"c{i * 7 % 10}", "timestampMs": at(i * 13 % 300), "metricIntGroup1": {"k": 1}} for i in range(40)]
@@ -220,3 +321,42 @@ def test_created_table_fills_defaults(spark, tmp_path):
     for bad in ({"variant": "v3"}, {"string_columns": 1}, {"float_columns": -1}):
         with pytest.raises(ValueError):
             flat_schema(1, **bad)
+
+
+def test_intermediates(spark):
+    from pathlib import Path
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    folder = Path(shared_folder(spark))
+    assert str(folder).startswith(before)
+    with intermediates(spark):
+        assert materialise(spark.range(3)).count() == 3
+        assert list(folder.iterdir())
+    assert not folder.exists()
+    clear_intermediates(spark)
+
+
+def test_intermediates_without_a_checkpoint_folder(spark):
+    class Context:
+        applicationId, master = "app", "local[2]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def __init__(self, warehouse):
+            self.warehouse = warehouse
+
+        def get(self, key, default=None):
+            return self.warehouse if key == "spark.sql.warehouse.dir" else default
+
+    class Session:
+        def __init__(self, warehouse, master):
+            self.sparkContext, self.conf = Context(), Conf(warehouse)
+            self.sparkContext.master = master
+
+    assert shared_folder(Session("file:/w", "local[2]")) == "file:/w/widefold-app"
+    assert shared_folder(Session("hdfs://n/w", "yarn")) == "hdfs://n/w/widefold-app"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(warehouse, "yarn"))

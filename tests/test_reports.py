@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from widefold.functions.labels import duration_text, improvement_percent, metric_type
-from widefold.operators import logs, timing
+from widefold.operators import logs, order_stats, timing
 from widefold.operators.order_stats import order_statistics, share_position
 from widefold.sources.logs import read_logs
 from widefold.sources.timings import read_timings, write_csv, write_json
@@ -19,6 +19,11 @@ SAMPLE = (
 )
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+SMALLEST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+PARALLEL = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+
+
 def samples(spark, groups):
     rows = [
         (1, "t", metric, kind, i, float(v), 1, "2024-01-01")
@@ -53,13 +58,40 @@ def test_order_statistics_of_a_hot_group_cut_into_ranges(spark):
     values = {"hot": [rng.choice([0.5, rng.random(), rng.random() ** 8]) for _ in range(3000)], "cold": [1.0, 2.0]}
     df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g string, v double")
     positions = {"p10": share_position(0.1), "p95": share_position(0.95), "last": lambda n: n - 1}
-    got = order_statistics(df, ["g"], "v", positions, values_per_task=100)
+    got = order_statistics(df, ["g"], "v", positions).select("g", *positions)
     expected = {
         g: (sorted(vs)[int(len(vs) * 0.1)], sorted(vs)[int(len(vs) * 0.95)], max(vs)) for g, vs in values.items()
     }
     assert {r["g"]: tuple(r)[1:] for r in got.collect()} == expected
 
 
+def test_ranges_grow_with_the_values(spark, monkeypatch):
+    store = order_stats.materialise
+    monkeypatch.setattr(order_stats, "materialise", lambda df: seen.append(store(df)) or seen[-1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", ADVISORY, SMALLEST, PARALLEL)}
+    for k, v in zip(before, ("64", "16k", "1k", "false"), strict=True):
+        spark.conf.set(k, v)
+    ranges = []
+    try:
+        for n in (4_000, 8_000):
+            seen: list = []
+            df = spark.range(n).select(F.lit("hot").alias("g"), F.col("id").cast("double").alias("v"))
+            row = order_statistics(df, ["g"], "v", {"middle": share_position(0.5)}).first()
+            assert (row["middle"], row["runs"]) == (n // 2, n)
+            ranges.append(seen[0].select("range_no").distinct().count())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 1 < ranges[0] < ranges[1]
+
+
+def test_null_groups_are_kept(spark):
+    rows = [(1, None, "m", "old", 1.0), (1, None, "m", "old", 3.0), (1, "a", None, None, 5.0), (None, None, None, "old", None)]
+    df = spark.createDataFrame(rows, "customer_id int, customer_name string, metric_key string, schema_type string, execution_time_seconds double")
+    got = {tuple(r)[:4]: (r["runs"], r["avg"], r["median"], r["stdev"]) for r in timing.metric_stats(df).collect()}
+    assert got == {(1, None, "m", "old"): (2, 2.0, 2.0, 2**0.5), (1, "a", None, None): (1, 5.0, 5.0, 0.0)}
+
+
 def test_speedups_and_labels(spark):
     df = samples(
         spark,

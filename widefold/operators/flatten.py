@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from widefold.model import GROUP_KEYS, STANDARD_COLUMNS, group_columns
 from widefold.operators.discovery import discover_entries, tenants_of
 from widefold.operators.mapping import RANKS_PER_COLUMN, KeyMapping, slots
-from widefold.operators.preagg import map_entries, representative, union_all
+from widefold.operators.preagg import SNAPSHOT_COLUMNS, at_grain, map_entries, snapshot_struct, union_all
 from widefold.plans.small_side import join_lookup, materialise
 
 
@@ -26,20 +26,28 @@ def flatten(
 
     Plan: map entries meet the mapping by broadcast and are summed per (group, slot), with the
     sums begun inside each task, so a group that holds a large share of all rows is shuffled as a
-    few rows. The summed entries of a group number at most the tenant's slots, so the list
-    collected per group is bounded by the width of the table. Both sides of the final join are
-    aggregated on the group keys, which are its keys, so it adds no shuffle. The two sides and the
-    two kinds read disjoint columns of the fact besides the keys.
+    few rows. The sums and the raw rows' standard columns then meet in one grouping on the group
+    keys, in which a NULL key is a key like any other; raw rows are reduced to the earliest inside
+    each task. The summed entries of a group number at most the tenant's slots, so the list
+    collected per group is bounded by the width of the table. The two sides and the two kinds read
+    disjoint columns of the fact besides the keys.
+
+    Runs small jobs when called: the mapping is checked against the tenants, and the slots are
+    stored and counted.
     """
     if entries is None:
         entries = materialise(discover_entries(fact))
     check_tenants(entries, mapping)
     placed = materialise(slots(entries, mapping.keys, conflict))
     widths = {k: n for k, n in (("int", mapping.int_columns), ("float", mapping.float_columns)) if n}
-    flat = representative(fact, grain)
-    if widths:
-        sums = union_all([slot_sums(fact, placed, kind, grain) for kind in widths])
-        flat = flat.join(sums.groupBy(*GROUP_KEYS).agg(*[_slot_map(kind) for kind in widths]), GROUP_KEYS, "left")
+    parts = [at_grain(fact, grain, snapshot_struct().alias("snapshot"))]
+    parts += [slot_sums(fact, placed, kind, grain) for kind in widths]
+    flat = union_all(parts).groupBy(*GROUP_KEYS).agg(
+        F.min("snapshot").alias("snapshot"), *[_slot_map(kind) for kind in widths]
+    )
+    flat = flat.select(
+        *GROUP_KEYS, *[F.col(f"snapshot.{c}").alias(c) for c in SNAPSHOT_COLUMNS], *[f"{k}_slots" for k in widths]
+    )
     ranks = placed.groupBy("kind", "idx").agg(F.max(F.col("slot") % RANKS_PER_COLUMN).alias("last_rank"))
     last_rank = {(r["kind"], r["idx"]): r["last_rank"] for r in ranks.where("last_rank > 0").collect()}
     positional = [
@@ -60,9 +68,7 @@ def slot_sums(fact: DataFrame, placed: DataFrame, kind: str, grain: str) -> Data
     lookup = placed.where(F.col("kind") == kind).select(
         F.col("customer_id").alias("customerId"), "group_no", "key", "slot"
     )
-    joined = join_lookup(
-        map_entries(fact, kind, grain), lookup, ["customerId", "group_no", "key"], spread=GROUP_KEYS
-    )
+    joined = join_lookup(map_entries(fact, kind, grain), lookup, ["customerId", "group_no", "key"])
     return joined.groupBy(*GROUP_KEYS, "slot").agg(F.sum("value").alias(f"{kind}_sum"))
 
 

@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from widefold.model import GROUPS_PER_KIND
 from widefold.operators.discovery import discover_entries, keys_of, tenants_of
 from widefold.plans.small_side import materialise
 
-RANKS_PER_COLUMN = 16  # more than the number of map columns of a kind
+RANKS_PER_COLUMN = GROUPS_PER_KIND + 1
 
 
 @dataclass(frozen=True)
@@ -26,15 +27,22 @@ class KeyMapping:
     float_columns: int
 
 
-def assign_columns(keys: DataFrame) -> DataFrame:
-    """Number each tenant's sorted keys of a kind from 1: customer_id, kind, key, idx, column.
+def assign_columns(keys: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Number each tenant's sorted keys of a kind: customer_id, kind, key, idx, column.
 
-    A window holds the distinct keys of one tenant and kind, which is the width of its table.
+    With an existing mapping only the keys it lacks are numbered, from the tenant's largest number
+    on, so that a number never changes its meaning; else numbers begin at 1. A window holds the
+    distinct keys of one tenant and kind, which is the width of its table.
     """
     by_key = Window.partitionBy("customer_id", "kind").orderBy("key")
-    return keys.select("customer_id", "kind", "key", F.row_number().over(by_key).alias("idx")).withColumn(
-        "column", F.concat("kind", F.col("idx").cast("string"))
-    )
+    begin = F.lit(0)
+    if existing is not None:
+        keys = keys.join(existing, ["customer_id", "kind", "key"], "left_anti")
+        used = existing.groupBy("customer_id", "kind").agg(F.max("idx").alias("used"))
+        keys = keys.join(used, ["customer_id", "kind"], "left")
+        begin = F.coalesce(F.col("used"), F.lit(0))
+    numbered = keys.select("customer_id", "kind", "key", (begin + F.row_number().over(by_key)).alias("idx"))
+    return numbered.withColumn("column", F.concat("kind", F.col("idx").cast("string")))
 
 
 def reverse_mapping(mapping: DataFrame) -> DataFrame:
@@ -44,7 +52,7 @@ def reverse_mapping(mapping: DataFrame) -> DataFrame:
 
 def max_columns(mapping: DataFrame) -> DataFrame:
     """Columns of the widest tenant, per kind."""
-    per_tenant = mapping.groupBy("customer_id", "kind").agg(F.count("*").alias("n"))
+    per_tenant = mapping.groupBy("customer_id", "kind").agg(F.max("idx").alias("n"))
     return per_tenant.groupBy("kind").agg(F.max("n").alias("max_columns"))
 
 
@@ -60,6 +68,13 @@ def mapping_from_entries(entries: DataFrame) -> KeyMapping:
     return key_mapping(assign_columns(keys_of(entries)), tenants_of(entries))
 
 
+def extended_mapping(entries: DataFrame, existing: KeyMapping) -> tuple[KeyMapping, DataFrame]:
+    """An existing mapping with the keys and tenants that it lacks, and the added rows alone."""
+    added = materialise(assign_columns(keys_of(entries), existing.keys))
+    tenants = materialise(existing.tenants.unionByName(tenants_of(entries)).distinct())
+    return key_mapping(existing.keys.unionByName(added), tenants), added
+
+
 def discover_mapping(fact: DataFrame) -> tuple[KeyMapping, DataFrame]:
     """Discover and number the numeric keys of a fact. Also gives the discovered entries."""
     entries = materialise(discover_entries(fact))

@@ -59,13 +59,21 @@ def sum_map_long(fact: DataFrame, kind: str, grain: str = "minute") -> DataFrame
 
 
 def sum_maps(fact: DataFrame, kinds: tuple[str, ...] = ("int", "float"), grain: str = "minute") -> DataFrame:
-    """The same sums as maps, one column per map column, empty where a group has no entry.
+    """The same sums as maps, one column per map column, empty where a group has no entry."""
+    return summed_entries(fact, kinds, grain).groupBy(*GROUP_KEYS).agg(*map_columns(kinds))
+
+
+def summed_entries(fact: DataFrame, kinds: tuple[str, ...], grain: str) -> DataFrame:
+    return union_all([sum_map_long(fact, k, grain).withColumnRenamed("value", f"{k}_value") for k in kinds])
+
+
+def map_columns(kinds: tuple[str, ...]) -> list[Column]:
+    """Aggregates that gather the summed entries of a group into its map columns.
 
     The sums of a group number at most its distinct keys, so the lists collected here do not grow
     with its rows.
     """
-    summed = union_all([sum_map_long(fact, k, grain).withColumnRenamed("value", f"{k}_value") for k in kinds])
-    maps = [
+    return [
         F.expr(
             f"map_from_entries(collect_list(struct(key, {kind}_value))"
             f" FILTER (WHERE group_no = {n} AND {kind}_value IS NOT NULL)) AS {name}"
@@ -73,12 +81,18 @@ def sum_maps(fact: DataFrame, kinds: tuple[str, ...] = ("int", "float"), grain:
         for kind in kinds
         for n, name in enumerate(group_columns(kind), 1)
     ]
-    return summed.groupBy(*GROUP_KEYS).agg(*maps)
 
 
 def preaggregate(fact: DataFrame, grain: str = "minute", kinds: tuple[str, ...] = ("int", "float")) -> DataFrame:
-    """Standard columns and summed maps of each group. A group without entries has empty maps."""
-    joined = representative(fact, grain).join(sum_maps(fact, kinds, grain), GROUP_KEYS, "left")
+    """Standard columns and summed maps of each group. A group without entries has empty maps.
+
+    Raw rows and sums meet in one grouping, in which a NULL key is a key like any other.
+    """
+    rows = at_grain(fact, grain, snapshot_struct().alias("snapshot"))
+    grouped = union_all([rows, summed_entries(fact, kinds, grain)]).groupBy(*GROUP_KEYS).agg(
+        F.min("snapshot").alias("snapshot"), *map_columns(kinds)
+    )
+    joined = grouped.select("*", *[F.col(f"snapshot.{c}").alias(c) for c in SNAPSHOT_COLUMNS])
     value_types = {"int": "BIGINT", "float": "DOUBLE"}
     maps = [
         f"coalesce({g}, CAST(map() AS MAP<STRING, {value_types[kind]}>)) AS {g}" for kind in kinds for g in group_columns(kind)

@@ -13,7 +13,17 @@ from widefold.plans.small_side import join_lookup, materialise
 from widefold.sources.wide import scan
 
 # The query type of each report shape.
-QUERY_TYPES = {"dims": "aggregation", "country": "groupby_country", "minute": "groupby_minute"}
+QUERY_TYPES = {
+    "dims": "aggregation",
+    "country": "groupby_country",
+    "minute": "groupby_minute",
+    "minute_window": "groupby_minute_filtered",
+}
+
+
+def grouping(shape: str) -> str:
+    """The shape of metrics that a report shape groups by; a bounded one differs in its range alone."""
+    return "minute" if shape == "minute_window" else shape
 
 
 def flat_report(
@@ -23,8 +33,9 @@ def flat_report(
 
     The columns the locator names (no more than the table is wide) are summed side by side, and
     only the sums are turned into rows. Rows not above 0 are left out of the sums, and a group
-    without any is left out of the result.
+    without any is left out of the result. Stores the locator and gathers its column names when called.
     """
+    query_type, shape = QUERY_TYPES[shape], grouping(shape)
     located = materialise(locator.select("customer_id", "metric_key", "target_physical_column"))
     columns = sorted(r[0] for r in located.select("target_physical_column").distinct().collect())
     if not columns:
@@ -37,14 +48,19 @@ def flat_report(
     )
     joined = join_lookup(long, located, ["customer_id", "target_physical_column"])
     return joined.select(
-        "customer_id", "metric_key", F.lit(QUERY_TYPES[shape]).alias("query_type"), *shape_names(shape), "metric_sum"
+        "customer_id", "metric_key", F.lit(query_type).alias("query_type"), *shape_names(shape), "metric_sum"
     )
 
 
 def map_report(
     fact: DataFrame, locator: DataFrame, shape: str, start: str | datetime, end: str | datetime
 ) -> DataFrame:
-    """The same from the map table: entries in the located map column, flow by flow."""
+    """The same from the map table: entries in the located map column, flow by flow.
+
+    Only the map columns that the locator names are read. Their numbers, GROUPS_PER_KIND at most,
+    are gathered when called.
+    """
+    query_type, shape = QUERY_TYPES[shape], grouping(shape)
     located = materialise(
         locator.select(
             F.col("customer_id").alias("customerId"),
@@ -53,13 +69,16 @@ def map_report(
             F.col("flowid").alias("wanted_flow"),
         )
     )
-    maps = F.array(*[F.col(g) for g in group_columns("int")])
+    numbers = sorted(r["group_no"] for r in located.select("group_no").distinct().collect())
+    if not numbers:
+        raise ValueError("the locator holds no metric")
+    names = group_columns("int")
+    maps = F.array(*[F.struct(F.lit(n).alias("group_no"), F.col(names[n - 1]).alias("map")) for n in numbers])
     entries = (
         scan(fact, start, end)
-        .select("customerId", "flowId", *shape_columns(shape), F.posexplode(maps).alias("pos", "map"))
-        .select("*", (F.col("pos") + 1).alias("group_no"), F.explode("map").alias("key", "value"))
+        .select("customerId", "flowId", *shape_columns(shape), F.inline(maps))
+        .select("customerId", "flowId", *shape_names(shape), "group_no", F.explode("map").alias("key", "value"))
         .where("value > 0")
-        .drop("pos", "map")
     )
     joined = join_lookup(entries, located, ["customerId", "group_no", "key"])
     kept = joined.where((F.col("wanted_flow") == ALL_FLOWS) | (F.col("wanted_flow") == F.col("flowId")))
@@ -69,7 +88,7 @@ def map_report(
         .select(
             F.col("customerId").alias("customer_id"),
             F.col("key").alias("metric_key"),
-            F.lit(QUERY_TYPES[shape]).alias("query_type"),
+            F.lit(query_type).alias("query_type"),
             *shape_names(shape),
             "metric_sum",
         )

@@ -16,15 +16,7 @@ def summary(samples: DataFrame, by: list[str], value: str = SECONDS, tails: bool
     positions = median_positions()
     if tails:
         positions |= {"p95": share_position(0.95), "p99": share_position(0.99)}
-    plain = samples.groupBy(*by).agg(
-        F.count("*").alias("runs"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.avg(value).alias("avg"),
-        F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("stdev"),
-    )
-    placed = order_statistics(samples, by, value, positions)
-    return plain.join(placed, by).withColumn(
+    return order_statistics(samples, by, value, positions).withColumn(
         "median", (F.col("lower_middle") + F.col("upper_middle")) / 2
     ).drop("lower_middle", "upper_middle")
 

@@ -8,9 +8,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from widefold.model import flat_schema
+from widefold.operators.discovery import discover_entries, tenants_of
 from widefold.operators.flatten import flatten
-from widefold.operators.mapping import KeyMapping, discover_mapping
+from widefold.operators.mapping import KeyMapping, discover_mapping, extended_mapping
+from widefold.plans.small_side import materialise
 from widefold.sources.flat import read_flat, write_flat
+from widefold.sources.mappings import add_to_mapping, has_mapping, read_mapping, write_mapping
 from widefold.sources.wide import scan
 
 
@@ -30,14 +33,35 @@ def load_days(
     mode: str = "partitions",
     sort_key: str = "client",
     conflict: str = "last",
+    mapping: KeyMapping | None = None,
 ) -> Load:
     """Discover keys, number them, flatten and write the rows of a range, all tenants at once.
 
-    The raw fact is read twice: once for its keys, once for its rows. A load that is run again
-    replaces the same days and tenants.
+    The mapping is kept beside the table, in the folder <path>-mapping. A later load takes it from
+    there, or the one that is given: known keys keep their columns, new ones follow behind, and
+    the new numbers are stored before the data. Mode 'replace' begins anew. A load that is run
+    again replaces the same days and tenants; loads of one table must follow each other.
+
+    The raw fact is scanned four times, three where it has no float key: for its keys, for its
+    standard columns, and for its maps of either kind. The scans read different columns, but for
+    the group keys.
     """
+    spark = fact.sparkSession
+    beside = f"{path.rstrip('/')}-mapping"
     rows = scan(fact, start, end)
-    mapping, entries = discover_mapping(rows)
+    if mapping is None and mode != "replace" and has_mapping(spark, beside):
+        mapping = read_mapping(spark, beside)
+    if mapping is None:
+        mapping, entries = discover_mapping(rows)
+        write_mapping(mapping, beside)
+    else:
+        entries = materialise(discover_entries(rows))
+        known = mapping
+        mapping, added = extended_mapping(entries, known)
+        if mode != "replace" and has_mapping(spark, beside):
+            add_to_mapping(added, tenants_of(entries), beside)
+        else:
+            write_mapping(mapping, beside)
     flat = flatten(rows, mapping, entries, grain, conflict)
     write_flat(flat, path, mode, sort_key)
     schema = flat_schema(mapping.int_columns, mapping.float_columns)

@@ -9,7 +9,6 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-SALTS = 64
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -75,20 +74,17 @@ def join_lookup(
     lookup: DataFrame,
     on: list[str],
     how: str = "inner",
-    spread: list[str] | None = None,
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
-    """Join a fact to a lookup table that a caller has materialised.
+    """Join a fact to a lookup table that a caller has materialised. Measures it when called.
 
     Up to limit_bytes the lookup table is broadcast and the fact is not shuffled. A larger one is
-    repeated once per salt and joined by shuffle; the salt comes from the fact's `spread` columns,
-    so one hot join key is spread over SALTS tasks.
+    joined by shuffle. There adaptive execution measures the partitions of the fact and cuts one
+    that a hot key has made large into pieces of the advisory size, as many as it takes; each meets
+    the same part of the lookup table.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     if measured_bytes(lookup) <= limit_bytes:
         return fact.join(F.broadcast(lookup), on, how)
-    columns = spread or [c for c, t in fact.dtypes if not t.startswith(("map", "struct", "array"))]
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
+    return fact.join(lookup.hint("merge"), on, how)

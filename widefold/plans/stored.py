@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from widefold.operators.mapping import KeyMapping
 from widefold.plans.day_load import load_days
 from widefold.plans.small_side import shared_folder
-from widefold.sources.wide import read_wide
+from widefold.sources.wide import read_wide, write_wide
 
 
 @dataclass(frozen=True)
@@ -32,8 +32,8 @@ def stored(spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str]
     if key not in _stored:
         name = hashlib.sha256(f"{sf_dir}|{build.__name__}".encode()).hexdigest()[:16]
         folder = f"{shared_folder(spark)}/tables-{session}/{name}"
-        build(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/wide")
-        wide = read_wide(spark, f"{folder}/wide")
+        write_wide(build(spark, sf_dir), f"{folder}/wide")
+        wide = read_wide(spark, f"{folder}/wide", by_date=True)
         load = load_days(wide, f"{folder}/flat", mode="replace")
         _stored[key] = Stored(wide, load.flat, load.mapping, load.entries)
     return _stored[key]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from widefold.functions.times import start_of
 from widefold.model import DEFAULTED_COLUMNS, column_class
@@ -15,6 +15,9 @@ SORT_KEYS = {
     "hour": ["hour", "clientId", "sessionId", "timestampMs"],
 }
 
+# Columns whose ranges, after day and tenant, tell the files of a tenant apart.
+RANGE_KEYS = {"client": ["clientId"], "hour": ["hour", "clientId"]}
+
 
 def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: str = "client") -> None:
     """Write a flat fact as Parquet, one folder per day and tenant, rows sorted inside each file.
@@ -22,16 +25,17 @@ def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: s
     mode: 'partitions' replaces the days and tenants that the data holds, so a repeated load gives
     the same table; 'replace' replaces the whole table; 'append' adds to it.
 
-    The rebalance hint shuffles by day and tenant and lets adaptive execution split the partition
-    of a large tenant into several files of the advisory size and join small ones. Adaptive
-    execution must be on, as it is by default.
+    Rows are dealt out by ranges of day, tenant and the first columns of the sort key. A large
+    tenant is cut into several files whose ranges follow each other, so that the least and greatest
+    values of a file tell whether a query needs it. There are spark.sql.shuffle.partitions ranges;
+    adaptive execution joins small ones.
     """
     modes = {"partitions": ("overwrite", "dynamic"), "replace": ("overwrite", "static"), "append": ("append", "static")}
     save_mode, overwrite = modes[mode]
     placed = flat.withColumn("eventDate", F.to_date("timestampMs"))
     if sort_key == "hour":
         placed = placed.withColumn("hour", start_of("hour", "timestampMs"))
-    ordered = placed.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(
+    ordered = placed.repartitionByRange(*PARTITION_COLUMNS, *RANGE_KEYS[sort_key]).sortWithinPartitions(
         *PARTITION_COLUMNS, *SORT_KEYS[sort_key]
     )
     (
@@ -44,17 +48,55 @@ def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: s
     )
 
 
+def file_overlaps(flat: DataFrame, sort_key: str = "client") -> DataFrame:
+    """customer_id, and how many of the tenant's files begin before one ahead of them has ended.
+
+    Files of one day and tenant are compared by the range of the columns that tell them apart. A
+    shared boundary is no overlap. 0 means that a condition on these columns can skip files.
+    """
+    keys = [start_of("hour", "timestampMs") if k == "hour" else F.col(k) for k in RANGE_KEYS[sort_key]]
+    place = F.struct(*[k.alias(n) for n, k in zip(RANGE_KEYS[sort_key], keys, strict=True)])
+    files = flat.groupBy("eventDate", "customerId", F.col("_metadata.file_path").alias("file")).agg(
+        F.min(place).alias("first"), F.max(place).alias("last")
+    )
+    ahead = Window.partitionBy("eventDate", "customerId").orderBy("first", "last", "file").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    return (
+        files.withColumn("reached", F.max("last").over(ahead))
+        .groupBy(F.col("customerId").alias("customer_id"))
+        .agg(F.count_if(F.col("first") < F.col("reached")).alias("overlaps"))
+    )
+
+
 def table_schema(schema: T.StructType) -> T.StructType:
     """Schema of a stored flat table: the day column is added for partitioning."""
     return T.StructType([*schema.fields, T.StructField("eventDate", T.DateType())])
 
 
 def read_flat(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Flat fact from Parquet, with a given schema, so that no file is opened to infer one."""
-    stored = spark.read.schema(table_schema(schema)).parquet(path)
+    """Flat fact from Parquet, with a given schema, so that no file is opened to infer one.
+
+    Files of earlier loads lack the columns that later ones added. The reader gives 0 there, as the
+    column's default; a coalesce after the scan would keep conditions such as intN > 0 from it.
+    """
+    stored = spark.read.schema(table_schema(with_zeros(schema))).parquet(path)
     return stored.select(*[f.name for f in schema.fields], "eventDate")
 
 
+def with_zeros(schema: T.StructType) -> T.StructType:
+    """The schema with the numeric positional columns defaulting to 0 where a file lacks them."""
+    fields = []
+    for field in schema.fields:
+        if column_class(field.name) in ("int", "float"):
+            zero = f"CAST(0 AS {field.dataType.simpleString()})"
+            field = T.StructField(
+                field.name, field.dataType, field.nullable, {"CURRENT_DEFAULT": zero, "EXISTS_DEFAULT": zero}
+            )
+        fields.append(field)
+    return T.StructType(fields)
+
+
 def create_flat_table(
     spark: SparkSession, name: str, schema: T.StructType, location: str | None = None, drop: bool = False
 ) -> None:

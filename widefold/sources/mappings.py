@@ -12,6 +12,7 @@ NUMERIC_DOCUMENT = """
       customers: map<string, struct<int_mapping: map<string,string>, float_mapping: map<string,string>>>
     >
 """
+# The names inside the JSON documents, here and in numeric_document.
 TAG_ENTRY = "struct<keys: array<string>, key_count: int>"
 TAG_DOCUMENT = f"struct<customers: map<string, {TAG_ENTRY}>, max_keys_per_customer: int>"
 TAG_NON_TENANTS = ["max_keys_per_customer", "metadata", "customers"]
@@ -92,6 +93,17 @@ def write_numeric_json(mapping: KeyMapping, path: str) -> None:
     numeric_document(mapping).write.mode("overwrite").json(path)
 
 
+def add_to_mapping(added: DataFrame, tenants: DataFrame, path: str) -> None:
+    """Add rows to the tables of write_mapping. Tenants that are there already do no harm."""
+    added.write.mode("append").parquet(f"{path}/keys")
+    tenants.write.mode("append").parquet(f"{path}/tenants")
+
+
+def has_mapping(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/tenants")
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def write_mapping(mapping: KeyMapping, path: str) -> None:
     """Write the mapping as tables: long rows and tenants. This form has no size limit."""
     mapping.keys.write.mode("overwrite").parquet(f"{path}/keys")
@@ -100,7 +112,7 @@ def write_mapping(mapping: KeyMapping, path: str) -> None:
 
 def read_mapping(spark: SparkSession, path: str) -> KeyMapping:
     """Mapping from the tables of write_mapping."""
-    return key_mapping(spark.read.parquet(f"{path}/keys"), spark.read.parquet(f"{path}/tenants"))
+    return key_mapping(spark.read.parquet(f"{path}/keys"), spark.read.parquet(f"{path}/tenants").distinct())
 
 
 def read_tag_json(spark: SparkSession, path: str) -> tuple[DataFrame, int]:

@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from widefold.functions.times import in_range
 from widefold.model import EXCLUDED_COLUMNS, wide_schema
 
 
-def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    """Raw fact from Parquet, with the fixed schema."""
-    return spark.read.schema(wide_schema()).parquet(path)
+def write_wide(fact: DataFrame, path: str) -> None:
+    """Store a raw fact as Parquet, one folder per day, so that a scan of a range opens its days only."""
+    rows = fact.withColumn("eventDate", F.to_date("timestampMs"))
+    rows.write.mode("overwrite").partitionBy("eventDate").parquet(path)
+
+
+def read_wide(spark: SparkSession, path: str, by_date: bool = False) -> DataFrame:
+    """Raw fact from Parquet, with the fixed schema; by_date where it is stored in folders by eventDate."""
+    schema = wide_schema()
+    if by_date:
+        schema = T.StructType([*schema.fields, T.StructField("eventDate", T.DateType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def scan(
