@@ -30,6 +30,16 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # Many small stores each reserve disk for their logs otherwise.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+#: Lets Spark build a Bloom filter of the wanted rows, whatever the sizes, and drop most others before
+#: their texts are shuffled. Its size is bounded by spark.sql.optimizer.runtime.bloomFilter.maxNumBits.
+FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
 
@@ -44,10 +54,11 @@ def digest_of(text: Column) -> Column:
 
 
 @contextmanager
-def disk_backed_state(spark: SparkSession) -> Iterator[None]:
-    before = {k: spark.conf.get(k, None) for k in STATE}
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session with other settings for the time of the block."""
+    before = {k: spark.conf.get(k, None) for k in values}
     try:
-        for k, v in STATE.items():
+        for k, v in values.items():
             spark.conf.set(k, v)
         yield
     finally:
@@ -79,14 +90,14 @@ def ingest(
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row"))
     counted = located(stream, digest).groupBy("digest").agg(first.alias("first"), F.count("*").alias("n"))
-    with disk_backed_state(spark):
+    with settings(spark, STATE):
         running = counted.writeStream.outputMode("update").format("noop").option("checkpointLocation", state)
         running.trigger(availableNow=True).start().awaitTermination()
 
 
 def repeated(spark: SparkSession, state: str) -> DataFrame:
     """digest, n, keep_id, keep_file and keep_row of every digest that the state has met more than once."""
-    with disk_backed_state(spark):
+    with settings(spark, STATE):
         found = spark.read.format("statestore").load(state).where("value.count > 1")
         return materialise(found.select(
             "key.digest", F.col("value.count").alias("n"), F.col("value.min.doc_id").alias("keep_id"),
@@ -98,17 +109,27 @@ def is_keeper() -> Column:
     return (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))
 
 
-def colliding(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Digests under which texts differ. A group's keeper is repeated once per ROWS_PER_SALT copies, so that
-    its copies are compared by many tasks."""
-    members = rows.join(groups, "digest").withColumn("salts", F.ceil(F.col("n") / ROWS_PER_SALT).cast("int"))
-    keepers = members.where(is_keeper()).select(
+def colliding(docs: DataFrame, told: DataFrame, groups: DataFrame) -> DataFrame:
+    """Digests under which texts differ.
+
+    Which rows have a repeated digest is worked out without their texts; then only their texts are
+    moved. A group's keeper is repeated once per ROWS_PER_SALT copies, so that its copies are
+    compared by many tasks.
+    """
+    spark = docs.sparkSession
+    row_id = F.coalesce("doc_id", F.lit(0)).alias("id")
+    members = materialise(told.join(groups, "digest").select(row_id, "file", "row", "digest", "n", "keep_file", "keep_row"))
+    whole = located(docs, digest_of).select(row_id, "file", "row", "text")
+    with settings(spark, FILTER):
+        joined = whole.join(members.where("n > 1"), ["id", "file", "row"])
+        texts = materialise(joined.withColumn("salts", F.ceil(F.col("n") / ROWS_PER_SALT).cast("int")))
+    keepers = texts.where(is_keeper()).select(
         "digest", F.col("text").alias("kept_text"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     )
-    copies = members.where(~is_keeper()).select(
+    copies = texts.where(~is_keeper()).select(
         "digest", "text", F.pmod(F.xxhash64("file", "row"), F.col("salts")).cast("int").alias("salt")
     )
-    return copies.join(keepers, ["digest", "salt"]).where("text <> kept_text").select("digest").distinct()
+    return copies.join(keepers.hint("merge"), ["digest", "salt"]).where("text <> kept_text").select("digest").distinct()
 
 
 def by_text(rows: DataFrame) -> DataFrame:
@@ -131,8 +152,9 @@ def exact_groups(
     spark = docs.sparkSession
     groups = repeated(spark, state)
     rows = located(docs, digest)
-    collided = materialise(colliding(rows, groups))
-    told = rows.drop("text") if digest is digest_of else rows.withColumn("sha", digest_of(F.col("text"))).drop("text")
+    told = rows if digest is digest_of else rows.withColumn("sha", digest_of(F.col("text")))
+    told = materialise(told.drop("text"))
+    collided = materialise(colliding(docs, told, groups))
     whole = told.join(groups, "digest", "left")
     if not collided.isEmpty():
         exact = by_text(rows.join(collided, "digest", "left_semi"))
