@@ -28,6 +28,11 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", whole_text())
 
 
+def as_struct(docs: DataFrame) -> Column:
+    """A whole row as one column, `whole`, so that no column of it can clash with those of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+
+
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Equality on columns where null equals null; still a hash or merge join."""
     condition = F.lit(True)

@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from widefold.llm.common import read_table, row_key, same, whole_text
+from widefold.llm.common import as_struct, read_table, row_key, same, whole_text
 
 MIN_MATCH = 5
 THRESHOLD = 0.6
@@ -234,9 +234,9 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, with their columns, in which no item is found."""
-    found = contaminated(docs, items, threshold).select("doc_id", F.col("row_key").alias("_row_key")).distinct()
-    rows = docs.withColumn("_row_key", row_key())
-    return rows.join(found, same(rows, found, "doc_id", "_row_key"), "left_anti").drop("_row_key")
+    found = contaminated(docs, items, threshold).select("doc_id", "row_key").distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), as_struct(docs))
+    return rows.join(found, same(rows, found, "doc_id", "row_key"), "left_anti").select("whole.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

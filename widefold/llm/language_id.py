@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from widefold.llm.common import read_table, whole_text
+from widefold.llm.common import as_struct, read_table, whole_text
 
 BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
@@ -250,10 +250,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5) -> DataFrame:
     """The rows whose language the model tells with at least min_score, with all their columns."""
     predict = predictor(model, docs.sparkSession)
-    names = docs.columns
-    marked = docs.select(*[F.col(f"`{c}`") for c in names], predict(whole_text()).alias("_p"))
-    sure = (F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= min_score)
-    return marked.where(sure).select(*[F.col(f"`{c}`") for c in names])
+    marked = docs.select(as_struct(docs), predict(whole_text()).alias("p"))
+    sure = (F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= min_score)
+    return marked.where(sure).select("whole.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

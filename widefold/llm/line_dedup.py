@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from widefold.llm.common import read_table, row_key, same, whole_text
+from widefold.llm.common import as_struct, read_table, row_key, same, whole_text
 from widefold.plans.small_side import materialise
 
 WINDOW = 2
@@ -99,7 +99,8 @@ def removals(
     met = materialise(
         listed.select("doc_id", "row_key", F.explode(with_hash).alias("c")).select("doc_id", "row_key", "c.*")
     )
-    repeated = met.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # Stored, so that adaptive execution can cut a frequent hash into pieces in the join.
+    repeated = materialise(met.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
     hits = met.join(repeated, "hash").groupBy("doc_id", "row_key").agg(
         F.collect_set(F.struct("start", "length", "hash")).alias("hits")
     )
@@ -110,7 +111,7 @@ def removals(
         "doc_id", "row_key", "h.*", chunk_text(F.col("lines"), F.col("h.start"), F.col("h.length")).alias("chunk")
     )
     place = F.struct("doc_id", "start", "row_key")
-    groups = taken.groupBy("hash", "chunk").agg(F.min(place).alias("first"))
+    groups = materialise(taken.groupBy("hash", "chunk").agg(F.min(place).alias("first")))
     later = taken.join(groups, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "row_key").agg(
         F.sort_array(F.collect_set(F.struct("start", "length"))).alias("cut")
@@ -122,42 +123,39 @@ def dedup_lines(
 ) -> DataFrame:
     """Every row with all its columns, `text` without the removed chunks, and two more columns:
     n_lines, and n_removed of them. A null text stays null. Where nothing is removed the text is as it was."""
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "_row_key")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], row_key().alias("_row_key"))
-    cuts = removals(docs, window, divisor, min_lines).withColumnsRenamed({"doc_id": "_doc_id", "row_key": "_cut_key"})
-    joined = rows.join(
-        cuts, rows["doc_id"].eqNullSafe(cuts["_doc_id"]) & (rows["_row_key"] == cuts["_cut_key"]), "left"
-    )
-    lines = lines_of(whole_text())
+    rows = docs.select("doc_id", row_key().alias("row_key"), as_struct(docs))
+    cuts = removals(docs, window, divisor, min_lines).toDF("cut_id", "cut_key", "cut")
+    is_cut = F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.col("row_key") == F.col("cut_key"))
     # The kept ranges lie between one cut's end and the next one's start.
-    edges = joined.withColumn("_lines", lines).withColumn(
-        "_kept",
+    edges = rows.join(cuts, is_cut, "left").withColumn("lines", lines_of(whole_text("whole.text"))).withColumn(
+        "kept",
         F.zip_with(
             F.concat(F.array(F.lit(0)), F.transform("cut", lambda c: c["start"] + c["length"])),
-            F.concat(F.transform("cut", lambda c: c["start"]), F.array(F.size("_lines"))),
+            F.concat(F.transform("cut", lambda c: c["start"]), F.array(F.size("lines"))),
             lambda start, end: F.struct(start.alias("start"), (end - start).alias("length")),
         ),
     )
-    kept = F.flatten(
-        F.transform("_kept", lambda r: F.slice(F.col("_lines"), r["start"] + 1, r["length"]))
-    )
+    kept = F.flatten(F.transform("kept", lambda r: F.slice(F.col("lines"), r["start"] + 1, r["length"])))
     removed = F.coalesce(F.aggregate("cut", F.lit(0), lambda a, c: a + c["length"]), F.lit(0))
-    text = F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col("cut").isNull(), F.col("whole.text")).otherwise(F.array_join(kept, "\n"))
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     return edges.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
-        F.size("_lines").alias("n_lines"), removed.alias("n_removed"),
+        *[text.alias("text") if c == "text" else F.col(f"whole.`{c}`") for c in names],
+        F.size("lines").alias("n_lines"), removed.alias("n_removed"),
     )
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """The rows with their columns and the text that is left. Rows of which every line was a repeat go."""
-    done = dedup_lines(docs)
-    return done.where(F.col("n_removed") < F.col("n_lines")).drop("n_lines", "n_removed")
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("others"))
+    done = dedup_lines(rows).where(F.col("n_removed") < F.col("n_lines"))
+    return done.select(*[F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed and the SHA-256 of the text that is left, for every document."""
-    done = dedup_lines(read_table(spark, sf_dir, "documents"))
+    done = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(whole_text(), 256).alias("text_sha256"))
 
 
