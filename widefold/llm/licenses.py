@@ -146,44 +146,29 @@ def align(a: tuple[str, ...] | list[str], b: list[str]) -> tuple[list[tuple[int,
     return sorted(matched), anchors
 
 
-def places(text: list[str], template: Template, threshold: float) -> Iterator[tuple[int, int]]:
-    """Ranges of the text that have enough of the template's words within STRETCH of its length.
+def find(text: list[str], template: Template, threshold: float = THRESHOLD) -> list[Found]:
+    """Occurrences of a template in a text that do not overlap.
 
-    Each is cut at its template words, and ranges do not overlap. Whether enough different words are
-    there is known from counts that move along with the range, so a text is gone through once.
+    Windows begin at words of the template, and the next one half a template further on. They are that
+    much wider than STRETCH asks for, so one of them holds any notice whole, and a text is gone through
+    a fixed number of times. Only windows with enough different words of the template are aligned.
     """
+    step = max(1, len(template.words) // 2)
+    width = int(STRETCH * len(template.words)) + step + 1
     need = threshold * len(template.distinct)
-    span = int(STRETCH * len(template.words)) + 1
     hits = [i for i, w in enumerate(text) if w in template.distinct]
-    inside: Counter = Counter()
-    low = 0
-    for high, place in enumerate(hits):
-        inside[text[place]] += 1
-        while place - hits[low] >= span:
-            inside[text[hits[low]]] -= 1
-            if not inside[text[hits[low]]]:
-                del inside[text[hits[low]]]
-            low += 1
-        if len(inside) >= need:
-            # A little more on the right may hold the rest of the notice.
-            stop = high
-            while stop + 1 < len(hits) and hits[stop + 1] - hits[low] < span:
-                stop += 1
-            yield hits[low], hits[stop] + 1
-
-
-def find(text: list[str], template: Template, threshold: float = THRESHOLD) -> list[Found]:
-    """Occurrences of a template in a text that do not overlap."""
     out = []
-    done = 0
-    for start, end in places(text, template, threshold):
-        if start < done:
-            continue
-        matched, anchors = align(template.words, text[start:end])
-        if len(matched) >= threshold * len(template.words):
-            first, last = start + matched[0][1], start + matched[-1][1] + 1
-            out.append(Found(template.name, first, last, len(matched), len(template.words), anchors))
-            done = last
+    at = 0
+    while at < len(hits):
+        start = hits[at]
+        window = text[start : start + width]
+        following = start + step
+        if len(template.distinct.intersection(window)) >= need:
+            matched, anchors = align(template.words, window)
+            if len(matched) >= threshold * len(template.words):
+                first, following = start + matched[0][1], start + matched[-1][1] + 1
+                out.append(Found(template.name, first, following, len(matched), len(template.words), anchors))
+        at = bisect_left(hits, following, at + 1)
     return out
 
 
