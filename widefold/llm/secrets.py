@@ -38,9 +38,9 @@ ORDINARY_TEXTS = 2_000
 RANDOM_VALUES = 20_000
 #: Weight of a uniform distribution in the random model: strings of any alphabet are random, not only those seen.
 UNIFORM_WEIGHT = 20.0
-SMOOTHING = 0.5
+BACK_OFF = 20.0
 #: Least log-likelihood ratio of a token to a character, in nats.
-THRESHOLD = 1.8
+THRESHOLD = 3.0
 
 
 @dataclass(frozen=True)
@@ -130,8 +130,11 @@ def pair_counts(tokens: DataFrame) -> np.ndarray:
     return counts
 
 
-def log_probabilities(counts: np.ndarray, smoothing: float) -> np.ndarray:
-    return np.log((counts + smoothing) / (counts.sum(axis=1, keepdims=True) + smoothing * CODES))
+def log_probabilities(counts: np.ndarray, weight: float) -> np.ndarray:
+    """Of the next character given the one before, drawn by weight towards how often it comes at all."""
+    often = counts.sum(axis=0) + 0.5
+    prior = weight * often / often.sum()
+    return np.log((counts + prior) / (counts.sum(axis=1, keepdims=True) + weight))
 
 
 def train(docs: DataFrame, ordinary_texts: int = ORDINARY_TEXTS, random_values: int = RANDOM_VALUES) -> MarkovPair:
@@ -156,7 +159,7 @@ def train(docs: DataFrame, ordinary_texts: int = ORDINARY_TEXTS, random_values:
     even[np.ix_(allowed, allowed)] = UNIFORM_WEIGHT
     scaled = seen / np.maximum(seen.sum(axis=1, keepdims=True), 1) * UNIFORM_WEIGHT * len(allowed)
     return MarkovPair(
-        log_probabilities(scaled + even, 1e-3) - log_probabilities(pair_counts(ordinary), SMOOTHING)
+        log_probabilities(scaled + even, 1e-3) - log_probabilities(pair_counts(ordinary), BACK_OFF)
     )
 
 
