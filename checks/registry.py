@@ -219,7 +219,7 @@ def build() -> dict[str, Query]:
         "rows_by_month": on_tables(lambda t: profile.rows_by_month(t.flat)),
         "rows_where": on_tables(lambda t: count_where(t.flat, (F.col("int1") > 0) & (F.col("platform") == "ios"))),
         "kept_columns": on_tables(
-            lambda t: without_excluded(t.wide).drop(*ints, *group_columns("float"))
+            lambda t: without_excluded(t.wide).drop(*ints, *group_columns("float"), "eventDate")
         ),
         "key_presence": on_tables(
             lambda t: t.wide.where(any_group_has(ints, "retries"))

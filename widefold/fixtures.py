@@ -17,6 +17,7 @@ COUNTRIES = ["us", "de", "in", "br", "jp"]
 FIRST_DAY = "2024-01-01 00:00:00"
 LAST_DAY = "2024-01-31 00:00:00"
 
+KEYS_PER_STATUS = 15
 LINES_PER_CHUNK = 10
 LINES_PER_BLOCK = 64
 CHUNK_MINUTES = 60
@@ -84,11 +85,17 @@ def wide_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _complete(events, given)
 
 
-def lineitem_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A larger wide-map fact of one day, one raw row per line item: a client is a supplier, a session an order."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+def lineitem_fact(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    """A larger wide-map fact of one day: a client is a supplier, a session an order.
+
+    One raw row per line item and copy; a copy has orders of its own. Keys come from the status of a
+    line and its part, so that a tenant has about 180 of them in three map columns.
+    """
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn(
+        "l_orderkey", F.explode(F.array(*[F.col("l_orderkey") * copies + i for i in range(copies)]))
+    )
     supplier = F.col("l_suppkey")
-    status = F.concat("l_returnflag", F.lit("_"), "l_linestatus")
+    status = F.concat_ws("_", "l_returnflag", "l_linestatus", (F.col("l_partkey") % KEYS_PER_STATUS).cast("string"))
 
     def single(name: str, value: Column) -> Column:
         return F.create_map(F.concat(status, F.lit(name)), value.cast("int"))
@@ -111,7 +118,7 @@ def lineitem_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "metricIntGroup1": single("_quantity", F.col("l_quantity")),
         "metricIntGroup2": single("_price", F.round(F.col("l_extendedprice") * 100)),
         "metricIntGroup3": F.create_map(
-            F.concat(F.lit("line_"), F.col("l_linenumber").cast("string"), F.lit("_success")), F.lit(1)
+            F.concat(status, F.lit("_success")), F.lit(1)
         ),
         "metricIntGroup15": F.create_map(F.lit("event_count"), F.lit(1)),
     }

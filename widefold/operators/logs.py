@@ -128,7 +128,7 @@ def with_chunks(events: DataFrame) -> DataFrame:
 def chunks(lines: DataFrame) -> DataFrame:
     """One row per chunk start, complete or not, with its stage times in seconds.
 
-    The parsed events are materialised: they are read several times below, and the lines need to
+    The parsed events are materialised when this is called: they are read several times below, and the lines need to
     be matched against the patterns only once.
     """
     events = with_chunks(after_marker(materialise(parse_events(lines))))
