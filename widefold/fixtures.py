@@ -17,7 +17,7 @@ COUNTRIES = ["us", "de", "in", "br", "jp"]
 FIRST_DAY = "2024-01-01 00:00:00"
 LAST_DAY = "2024-01-31 00:00:00"
 
-KEYS_PER_STATUS = 15
+KEYS_PER_STATUS = 10
 LINES_PER_CHUNK = 10
 LINES_PER_BLOCK = 64
 CHUNK_MINUTES = 60
