@@ -320,6 +320,26 @@ def test_blocks():
     assert [b.text for b in html_blocks.blocks_of("plain")] == ["plain"]
 
 
+@pytest.mark.parametrize(("page", "texts"), [
+    ("<p>a</p><script>for(var i=0;i<n;i++){a(i)}</script><p>b</p>", ["a", "b"]),
+    ("<script>var s='<!--';</SCRIPT ><p>b</p><!-- c --><p>d</p>", ["b", "d"]),
+    ("<script><!-- w('<script>x</script>') --></script><p>b</p>", ["b"]),
+    ("<style>a>b{content:'<!--'}</style><p>b</p>", ["b"]),
+    ("<p>a</p><textarea>i<n <!-- \"</textarea><p>b</p>", ["a", "b"]),
+    ("<title>a <b & <!-- c</title><p>b</p>", ["b"]),
+    ("<template><script>'</template>'</script>t</template><p>b</p>", ["b"]),
+    ("<svg><g/><svg/></svg><p>b</p>", ["b"]),
+    ("<html><head><meta charset=x><title>T</title><p>b</p>", ["b"]),
+    ("<head><title>T</title><link rel=x><article>b<p>c</article>", ["b", "c"]),
+    ("<head><title>T</title><style>s</style></head>b", ["b"]),
+    ("<p>a</p><script>no end <p>b</p>", ["a"]),
+])
+def test_raw_elements_and_open_heads(page, texts):
+    blocks = html_blocks.blocks_of(page)
+    assert [b.text for b in blocks] == texts
+    assert all("head" not in b.tags for b in blocks)
+
+
 def test_viterbi_and_marginals_against_all_labellings():
     import itertools
 

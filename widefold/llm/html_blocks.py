@@ -13,7 +13,11 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+
 MARK = re.compile(r"\bdata-main\b")
 WORD = re.compile(r"[a-z0-9]+")
 #: Elements whose content is no text of the page.
-HIDDEN = frozenset("script style template noscript head title svg iframe object textarea select datalist".split())
+HIDDEN = frozenset("script style template noscript title svg iframe object textarea select datalist".split())
+#: Of these, the ones whose content is characters only: no tag or comment begins in it, it runs up to its own end tag.
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in "script style title iframe textarea".split()}
+#: What changes the state of a script: in a comment of its own, a script start tag hides the next end tag.
+SCRIPT = re.compile(r"<!(?=--)|-->|<(/?)script(?=[\s/>])", re.I)
 #: Elements that do not end a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
@@ -68,23 +72,56 @@ class Page:
                 return
 
 
+def end_of_script(html: str, at: int) -> int:
+    """Where the end tag of a script begins whose content begins at `at`, by the states of the HTML standard."""
+    escaped = 0
+    for m in SCRIPT.finditer(html, at):
+        if m[1] is None:
+            escaped = 0 if m[0] == "-->" else max(escaped, 1)
+        elif not m[1]:
+            escaped = 2 if escaped else 0
+        elif escaped < 2:
+            return m.start()
+        else:
+            escaped = 1
+    return len(html)
+
+
+def after_raw(html: str, tag: str, at: int) -> int:
+    """The place behind the end tag of a raw element whose content begins at `at`."""
+    if tag == "script":
+        start = end_of_script(html, at)
+    else:
+        found = RAW[tag].search(html, at)
+        start = found.start() if found else len(html)
+    return html.find(">", start) + 1 or len(html)
+
+
 def blocks_of(html: str) -> list[Block]:
-    """The page's blocks in order. White space inside a block is one space; character references are decoded."""
+    """The page's blocks in order. White space inside a block is one space; character references are decoded.
+
+    A head needs no end tag: all that may stand in it is hidden by itself, so the tag only ends a block.
+    """
     page = Page()
     hidden = ""
-    depth = 0
-    for token in TOKEN.finditer(html):
+    depth = at = 0
+    while at < len(html):
+        token = TOKEN.match(html, at)
+        at = token.end()
         tag = (token[2] or "").lower()
+        opens = bool(tag) and not token[1] and not token[3].rstrip().endswith("/")
+        if opens and tag in RAW:
+            if not hidden:
+                page.flush()
+            at = after_raw(html, tag, at)
+            continue
         if hidden:
-            # Scripts and styles end at their own end tag only; the others may hold elements of the same name.
+            # These may hold elements of the same name.
             if tag == hidden:
-                depth += -1 if token[1] else 1
-                if token[1] and (depth <= 0 or hidden in ("script", "style", "textarea", "title")):
+                depth += opens - bool(token[1])
+                if depth <= 0:
                     hidden = ""
-            elif hidden == "head" and tag == "body" and not token[1]:
-                hidden = ""
-            if hidden or tag != "body":
-                continue
+            continue
         if not tag:
             text = token[0]
             if text.startswith(("<!", "<?")) and len(text) > 1:
@@ -98,13 +135,15 @@ def blocks_of(html: str) -> list[Block]:
                     page.link_chars += len(text.strip())
             continue
         if tag in HIDDEN:
-            if tag not in INLINE and not token[1]:
+            if not token[1]:
                 page.flush()
-            if not token[1] and not token[3].rstrip().endswith("/"):
+            if opens:
                 hidden, depth = tag, 1
             continue
         if tag not in INLINE:
             page.flush()
+        if tag == "head":
+            continue
         if token[1]:
             page.close({tag})
             continue
@@ -112,7 +151,7 @@ def blocks_of(html: str) -> list[Block]:
             page.close(CLOSES[tag], SCOPES)
         elif tag not in INLINE and tag not in VOID:
             page.close({"p"}, SCOPES)
-        if tag not in VOID and not token[3].rstrip().endswith("/"):
+        if tag not in VOID and opens:
             names = tuple(WORD.findall(" ".join("".join(m) for m in NAMES.findall(token[3])).lower()))
             page.stack.append(Open(tag, names, bool(MARK.search(token[3]))))
     page.flush()
