@@ -387,6 +387,22 @@ def test_extraction_of_odd_pages(spark):
     assert html_extract.extract(pages.limit(0), html_extract.train(pages.limit(0))).count() == 0
 
 
+def test_rare_labelled_pages_are_drawn(spark):
+    rows = [(f"<p>plain {i}</p>" if i % 50 else f"<nav>n</nav><Article>a{i}</Article>",) for i in range(1000)]
+    rows += [(f"<article>nothing besides {i}</article>",) for i in range(100)]
+    pages = spark.createDataFrame(rows, "html string").repartition(4)
+    for n in (5, 20):
+        drawn = html_extract.draw(pages, n, 2)
+        assert len(set(drawn)) == n and all("<nav>" in h for h in drawn)
+    with pytest.warns(UserWarning, match="only 20 of 30"):
+        assert html_extract.train(pages, 30).weights.any()
+
+
+def test_digits_count_over_the_whole_block():
+    block = html_blocks.Block("a" * 200 + "1" * 600, (), (), 0, False)
+    assert "digits 3" in set(html_extract.described(block, 0, 1))
+
+
 # ---- quotations ----------------------------------------------------------------------------------
 
 MESSAGES = [

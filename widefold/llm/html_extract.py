@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as entities
 import random
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,7 +28,7 @@ from widefold.llm.common import read_table
 from widefold.llm.html_blocks import Block, blocks_of
 
 FEATURES = 1 << 14
-#: About so many pages, none longer than so many characters, are learned from.
+#: So many pages that tell their article, none longer than so many characters, are learned from.
 SAMPLE_PAGES = 150
 SAMPLE_CHARS = 60_000
 LAYOUTS = 3
@@ -95,7 +96,7 @@ def described(block: Block, at: int, total: int) -> Iterator[str]:
     yield f"links {round(3 * min(1.0, block.link_chars / len(text)))}"
     yield f"end {text[-1] in '.!?…:'}"
     yield f"commas {min(text.count(','), 7).bit_length()}"
-    yield f"digits {sum(c.isdigit() for c in text[:200]) * 4 // min(200, len(text))}"
+    yield f"digits {sum(map(str.isdigit, text)) * 4 // len(text)}"
     yield f"from start {min(at, 3)}"
     yield f"from end {min(total - 1 - at, 3)}"
     if words < 40:
@@ -232,13 +233,38 @@ def fit(examples: list[tuple[list[list[int]], list[int]]], epochs: int = EPOCHS)
     return Field(weights, moves)
 
 
-def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field:
-    """Fit the field on about sample_pages pages, drawn by a hash from those of at most SAMPLE_CHARS characters."""
-    short = pages.where(F.length("html") <= SAMPLE_CHARS).select("html")
+def draw(pages: DataFrame, n: int, first: int) -> list[str]:
+    """n different pages that tell their article, by a hash from all that do; fewer only where no more exist.
+
+    Pages without such an element are left out unparsed. Of the others a share that should hold `first` is
+    parsed, and a larger one until there are enough.
+    """
+
+    @F.pandas_udf("boolean")
+    def tells(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([told_by_elements(blocks_of(h)) is not None for h in batch], dtype=bool)
+
+    able = pages.where(F.rlike("html", F.lit(r"(?i)<(article|main)[\s/>]"))).select("html")
     part = 1_000_000
-    share = min(part, part * sample_pages // max(1, short.count()) + 1)
-    drawn = short.where(F.pmod(F.xxhash64("html"), F.lit(part)) < share).distinct()
-    return fit(labelled(sorted(r["html"] for r in drawn.collect())))
+    share = min(part, part * first // max(1, able.count()) + 1)
+    while True:
+        place = F.xxhash64("html")
+        near = able.where(F.pmod(place, F.lit(part)) < share).where(tells("html")).distinct()
+        found = [r["html"] for r in near.orderBy(F.pmod(place, F.lit(part)), "html").limit(n).collect()]
+        if len(found) >= n or share == part:
+            return sorted(found)
+        share = min(part, share * 8)
+
+
+def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field:
+    """Fit the field on sample_pages pages that tell their article, none longer than SAMPLE_CHARS characters.
+
+    Warns where there are fewer."""
+    drawn = draw(pages.where(F.length("html") <= SAMPLE_CHARS), sample_pages, 2 * sample_pages)
+    if len(drawn) < sample_pages:
+        warnings.warn(f"only {len(drawn)} of {sample_pages} pages to learn from tell their article", stacklevel=2)
+    return fit(labelled(drawn))
 
 
 # ---- extraction ------------------------------------------------------------------------------------
