@@ -588,6 +588,18 @@ def test_simhash_against_brute_force(spark, documents, clashing):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({c for *_, c in got}, key=str)
 
 
+def test_unlike_texts_of_null_or_repeated_ids_are_kept(spark):
+    chance = random.Random(3)
+    texts = [" ".join(f"w{chance.randrange(5000)}" for _ in range(100)) for _ in range(7)]
+    ids = [None, None, None, 5, 5, 6, None]
+    rows = [(i, t, "en", "a", len(t)) for i, t in zip(ids, texts, strict=True)]
+    rows += [rows[0], (9, texts[1], "en", "a", 0), (4, texts[3], "en", "a", 0)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, SF)
+    expected = zip([None, 9, None, 4, 5, 6, None], texts, strict=True)
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted(expected, key=str)
+
+
 def test_shingles_meet_sparks_hash(spark):
     text = "Ünï one\ttwo\vTHREE four"
     words = "Ünï one two three four".split()
