@@ -20,6 +20,7 @@ from widefold.llm import (
     exact_dedup,
     html_blocks,
     html_extract,
+    jaccard,
     language_id,
     licenses,
     line_dedup,
@@ -588,6 +589,62 @@ def test_simhash_against_brute_force(spark, documents, clashing):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({c for *_, c in got}, key=str)
 
 
+def word_sets(texts):
+    split = [t.lower().split() for t in texts]
+    return [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in split]
+
+
+def near_pairs(texts):
+    sets = word_sets(texts)
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j)]
+    return [(i, j) for i, j in pairs if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+
+
+def copies_of(chance, n, length, share):
+    """Texts of random words, each followed by a copy with about a share of its words replaced."""
+    for _ in range(n):
+        words = [f"w{chance.randrange(5000)}" for _ in range(length)]
+        yield " ".join(words)
+        for at in chance.sample(range(length), round(share * length)):
+            words[at] = "new"
+        yield " ".join(words)
+
+
+def test_copies_at_the_bound_are_found(spark):
+    chance = random.Random(12)
+    texts = [t for length in (60, 100, 300) for share in (0.01, 0.02, 0.03, 0.06) for t in copies_of(chance, 8, length, share)]
+    texts += ["", " ", "a b", "A  b", "a b c"]
+    pairs = near_pairs(texts)
+    near = {i for pair in pairs for i in pair}
+    assert 100 < len(near) < len(texts) - 50
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(range(len(texts))) - {j for _, j in pairs} - {len(texts) - 4})
+
+
+def test_large_groups_of_near_texts_are_dealt_out(spark):
+    chance = random.Random(13)
+    words = [f"w{i}" for i in range(80)]
+    texts = []
+    for i in range(60):
+        words[chance.randrange(80)] = f"n{i}"
+        texts.append(" ".join(words))
+    root = list(range(60))
+    for i, j in near_pairs(texts):
+        old, new = max(root[i], root[j]), min(root[i], root[j])
+        root = [new if r == old else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
+    for block in (4, 1000):
+        found = {}
+        for r in jaccard.near_roots(docs, block).collect():
+            found.setdefault(r.root, set()).add(r.doc_id)
+        expected = {}
+        for i, r in enumerate(root):
+            expected.setdefault(r, set()).add(i)
+        assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_unlike_texts_of_null_or_repeated_ids_are_kept(spark):
     chance = random.Random(3)
     texts = [" ".join(f"w{chance.randrange(5000)}" for _ in range(100)) for _ in range(7)]
