@@ -15,6 +15,7 @@ from widefold.llm import (
     licenses,
     line_dedup,
     packing,
+    prefix_tree,
     quotations,
     secrets,
     simhash,
@@ -33,10 +34,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": language_id.query,
         "op9_license_scan": licenses.query,
         "op10_simhash": simhash.query,
+        "op13_prefix_tree": prefix_tree.query,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op2_line_dedup": line_dedup.ORACLE_SQL,
-            "op6_quotation_linking": quotations.ORACLE_SQL}
+            "op6_quotation_linking": quotations.ORACLE_SQL, "op13_prefix_tree": prefix_tree.ORACLE_SQL}
