@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from widefold.llm import (
+    alignment,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": language_id.query,
         "op9_license_scan": licenses.query,
         "op10_simhash": simhash.query,
+        "op11_alignment": alignment.query,
         "op13_prefix_tree": prefix_tree.query,
         "pipeline": corpus_pipeline.run,
     }
