@@ -12,8 +12,8 @@ a pair it does not know. A second pass aligns the texts anew and looks their pai
 What the tasks of the second pass hold are 13 bytes or so a pair. Up to `LIMIT` bytes, measured, the vectors
 are sent to them; beyond that the pairs of each text are joined to the counts by shuffle.
 
-Neither tokenizer has a token across a single space between two characters that are no white space, so texts
-are cut there, and a part is aligned once and looked up when it is met again.
+Neither tokenizer has a token across a single space between two characters that are no white space, so very
+long texts are cut there, and a task holds the tokens of about `WINDOW` characters.
 
 Null text, empty text, and texts that the tokens of either don't spell have no tokens: zeros and ''. Strings of
 special tokens are ordinary text. Texts of any length are read whole. Every row of the input gives one row,
@@ -24,17 +24,17 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from widefold.llm.common import read_table, whole_text
-from widefold.llm.tokens import byte_ranks
+from widefold.llm.tokens import PIECES, byte_ranks, patterns
 from widefold.plans.small_side import BROADCAST_LIMIT_BYTES, join_lookup, materialise
 
 LIMIT = BROADCAST_LIMIT_BYTES
@@ -44,15 +44,14 @@ LEAVES = 64
 FAN_IN = 8
 #: Bits of a level of the hash function for each pair that it has to place.
 SPREAD = 2
-#: Parts of texts kept by a task, and the longest that is kept.
-PARTS_KEPT = 200_000
-LONGEST_KEPT = 200
 #: Characters of text that a task goes through at once.
 WINDOW = 1 << 20
 #: A pair of ids as one number.
 B_IDS = 1 << 15
-#: A space that no token crosses. Some characters are white space to one library and not to another.
-CUT = re.compile(r"(?<=[^\s᠎​⁠﻿]) (?=[^\s᠎​⁠﻿])")
+#: Characters that are white space to one library and not to another.
+DOUBTFUL = "".join(map(chr, [0x180E, 0x200B, 0x2060, 0xFEFF]))
+#: A space that no token crosses.
+CUT = re.compile(rf"(?<=[^\s{DOUBTFUL}]) (?=[^\s{DOUBTFUL}])")
 
 
 def vocabulary_paths() -> tuple[str, str]:
@@ -61,81 +60,105 @@ def vocabulary_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-# ---- one text ------------------------------------------------------------------------------------
+# ---- texts of one task ---------------------------------------------------------------------------
 
 
 class Aligned(NamedTuple):
-    """A part of a text: tokens of both, groups as text, links as numbers of pairs; None where not spelled."""
+    """Stretches laid end to end: the text of each, tokens of both, and where the last tokens of groups are.
 
-    n_a: int
-    n_b: int
-    groups: str | None
-    links: np.ndarray
+    from_a, from_b and from_link tell how many tokens and groups lie ahead of each stretch.
+    """
+
+    owners: list[int]
+    a: np.ndarray
+    b: np.ndarray
+    last_a: np.ndarray
+    last_b: np.ndarray
+    from_a: np.ndarray
+    from_b: np.ndarray
+    from_link: np.ndarray
+
+    def links(self) -> np.ndarray:
+        """The pair that ends each group, as one number."""
+        return self.a[self.last_a] * B_IDS + self.b[self.last_b]
 
 
 class Aligner:
-    """Both tokenizers, and the parts met lately."""
+    """Both tokenizers, and the bytes of their tokens."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.plain = Tokenizer.from_file(path_a)
+        self.plain.encode_special_tokens = True
+        ranks = byte_ranks(self.plain.get_vocab(with_added_tokens=False))
+        self.fast = tiktoken.Encoding("plain", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = {i: t for t, i in byte_ranks(self.a.get_vocab(with_added_tokens=False)).items()}
+        spelled = {i: t for t, i in ranks.items()}
+        self.bytes_a = [spelled.get(i, b"") for i in range(max(spelled) + 2)]
         self.bytes_b = [self.piece_bytes(i) for i in range(self.b.vocab_size())]
-        self.kept: dict[str, Aligned] = {}
-        self.older: dict[str, Aligned] = {}
+        self.length_a = np.array([len(t) for t in self.bytes_a])
+        self.length_b = np.array([len(t) for t in self.bytes_b])
+        # Ids as they are written in groups: a token inside a group and its last one, of either side.
+        self.written = [f"{i}{sep}" for n, sep in self.sides() for i in range(n)]
+
+    def sides(self) -> list[tuple[int, str]]:
+        return [(len(self.bytes_a), ","), (len(self.bytes_a), "|"), (len(self.bytes_b), ","), (len(self.bytes_b), ";")]
 
     def piece_bytes(self, i: int) -> bytes:
         if self.b.is_byte(i):
             return bytes([int(self.b.id_to_piece(i)[3:-1], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def part(self, part: str) -> Aligned:
-        """The alignment of a space and a part."""
-        found = self.kept.get(part)
-        if found is None:
-            found = self.older.get(part)
-            if found is None:
-                found = self.align(part)
-            if len(part) <= LONGEST_KEPT:
-                if len(self.kept) >= PARTS_KEPT:
-                    self.older, self.kept = self.kept, {}
-                self.kept[part] = found
-        return found
-
-    def align(self, part: str) -> Aligned:
-        whole = b" " + part.encode("utf-8", "surrogatepass")
-        ids_a = self.a.encode(" " + part, add_special_tokens=False).ids
-        ids_b = self.b.encode(part) if part else [self.b.piece_to_id("▁")]
-        spelled_a = [self.bytes_a.get(i, b"") for i in ids_a]
-        spelled_b = [self.bytes_b[i] for i in ids_b]
-        if b"".join(spelled_a) != whole or b"".join(spelled_b) != whole:
-            return Aligned(0, 0, None, np.zeros(0, np.int64))
-        ends_a = np.cumsum([len(t) for t in spelled_a])
-        ends_b = np.cumsum([len(t) for t in spelled_b])
-        _, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        groups, from_a, from_b = [], 0, 0
-        for i, j in zip(last_a.tolist(), last_b.tolist(), strict=True):
-            a, b = ids_a[from_a : i + 1], ids_b[from_b : j + 1]
-            groups.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
-            from_a, from_b = i + 1, j + 1
-        links = np.array(ids_a)[last_a] * B_IDS + np.array(ids_b)[last_b]
-        return Aligned(len(ids_a), len(ids_b), ";".join(groups), links.astype(np.int64))
-
-    def parts(self, times: Counter[str]) -> dict[str, Aligned] | None:
-        """The alignments of distinct parts; None where one is not spelled."""
-        found = {p: self.part(p) for p in times}
-        return None if any(x.groups is None for x in found.values()) else found
-
-
-def stretches(text: str) -> Iterator[str]:
-    """A text in stretches of about WINDOW characters, cut at a CUT where there is one; '' has none."""
+    def ids_a(self, text: str) -> np.ndarray:
+        """A's ids. Texts with characters that two libraries may cut differently go to the tokenizer itself."""
+        if patterns()[1].fullmatch(text):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.int64)
+
+    def align(self, chunk: list[tuple[int, str]]) -> tuple[Aligned, set[int]]:
+        """The alignment of stretches with the number of their text; and the texts that are not spelled."""
+        owners, all_a, all_b, odd = [], [], [], set()
+        for (i, stretch), ids_b in zip(chunk, self.b.encode([s for _, s in chunk], num_threads=1), strict=True):
+            whole = b" " + stretch.encode("utf-8", "surrogatepass")
+            ids_a = self.ids_a(" " + stretch)
+            if (
+                b"".join(map(self.bytes_b.__getitem__, ids_b)) != whole
+                or b"".join(map(self.bytes_a.__getitem__, ids_a.tolist())) != whole
+            ):
+                odd.add(i)
+                continue
+            owners.append(i)
+            all_a.append(ids_a)
+            all_b.append(np.array(ids_b, np.int64))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (all_a, all_b))
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        size = int(ends_a[-1]) + 1 if len(a) else 0
+        ends_of_a, ends_of_b = np.zeros(size, bool), np.zeros(size, bool)
+        ends_of_a[ends_a], ends_of_b[ends_b] = True, True
+        last_a, last_b = np.flatnonzero(ends_of_b[ends_a]), np.flatnonzero(ends_of_a[ends_b])
+        from_a, from_b = (np.cumsum([0, *map(len, x)]) for x in (all_a, all_b))
+        return Aligned(owners, a, b, last_a, last_b, from_a, from_b, np.searchsorted(last_a, from_a)), odd
+
+    def groups(self, x: Aligned) -> list[str]:
+        """The groups of each stretch as `a1,a2|b1;a3|b2,b3`."""
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        closes_a, closes_b = np.zeros(len(x.a), bool), np.zeros(len(x.b), bool)
+        closes_a[x.last_a], closes_b[x.last_b] = True, True
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        shown = np.concatenate([x.a + n_a * closes_a, x.b + 2 * n_a + n_b * closes_b])[order].tolist()
+        bounds = (x.from_a + x.from_b).tolist()
+        get = self.written.__getitem__
+        return ["".join(map(get, shown[s:e]))[:-1] for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def stretches(text: str, window: int) -> Iterator[str]:
+    """A text in stretches of about window characters, cut at a CUT where there is one; '' has none."""
     start = 0
-    while len(text) - start > WINDOW:
-        cut = CUT.search(text, start + WINDOW)
+    while len(text) - start > window:
+        cut = CUT.search(text, start + window)
         if cut is None:
             break
         yield text[start : cut.start()]
@@ -144,17 +167,18 @@ def stretches(text: str) -> Iterator[str]:
         yield text[start:]
 
 
-def chunks(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
-    """The stretches of texts with the number of their text, about WINDOW characters at a time."""
+def chunks(texts: list[str], window: int) -> Iterator[list[tuple[int, str]]]:
+    """The stretches of texts with the number of their text, about window characters at a time."""
     chunk, size = [], 0
     for i, text in enumerate(texts):
-        for stretch in stretches(text):
+        for stretch in stretches(text, window):
             chunk.append((i, stretch))
             size += len(stretch)
-            if size >= WINDOW:
+            if size >= window:
                 yield chunk
                 chunk, size = [], 0
-    yield chunk
+    if chunk:
+        yield chunk
 
 
 @cache
@@ -244,38 +268,25 @@ def shard_of(pairs: np.ndarray, shards: int) -> np.ndarray:
 
 
 def linked_pairs(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """pair and n, the links of each pair, added up within batches; the first pass."""
+    """pair and n, the links of each pair, added up within chunks; the first pass."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner = loaded(*paths)
         for batch in batches:
-            seen: Counter[str] = Counter()
-            links: dict[str, np.ndarray] = {}
-            for text in batch["text"]:
-                times: Counter[str] = Counter()
-                for stretch in stretches(text):
-                    times.update(CUT.split(stretch))
-                found = aligner.parts(times)
-                if found is not None:
-                    seen.update(times)
-                    links.update((p, x.links) for p, x in found.items())
-                if len(seen) > PARTS_KEPT:
-                    yield totalled(seen, links)
-                    seen, links = Counter(), {}
-            if seen:
-                yield totalled(seen, links)
-
-    def totalled(seen: Counter[str], links: dict[str, np.ndarray]) -> pd.DataFrame:
-        pairs = np.concatenate([links[p] for p in seen])
-        times = np.repeat(np.fromiter(seen.values(), np.int64), [len(links[p]) for p in seen])
-        distinct, at = np.unique(pairs, return_inverse=True)
-        totals = np.zeros(len(distinct), np.int64)
-        np.add.at(totals, at, times)
-        return pd.DataFrame({"pair": distinct, "n": totals})
+            texts = batch["text"].tolist()
+            odd = {i for i, t in enumerate(texts) if len(t) > WINDOW and not spelled(aligner, t, WINDOW)}
+            for chunk in chunks(["" if i in odd else t for i, t in enumerate(texts)], WINDOW):
+                found, n = np.unique(aligner.align(chunk)[0].links(), return_counts=True)
+                yield pd.DataFrame({"pair": found, "n": n})
 
     return docs.select(whole_text().alias("text")).mapInPandas(run, "pair long, n long")
 
 
+def spelled(aligner: Aligner, text: str, window: int) -> bool:
+    """Whether all stretches of a long text are spelled by the tokens of both."""
+    return not any(aligner.align([(0, s)])[1] for s in stretches(text, window))
+
+
 def shard_column(shards: int):
     @F.pandas_udf("int")
     def run(pairs: pd.Series) -> pd.Series:
@@ -366,48 +377,52 @@ class Lookup:
                 out[mine] = np.where(at >= 0, counts[at], 0)
         return out
 
-    def scores(self, links: list[np.ndarray]) -> list[tuple[int, int]]:
-        """Of each list of pairs the sum of their counts, and how many are their B id's highest."""
-        every = np.concatenate(links) if links else np.zeros(0, np.int64)
-        counts = self.counts(every)
-        best = counts == self.highest[every % B_IDS]
-        ends = np.cumsum([len(x) for x in links]).tolist()
-        sums, bests = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(best)])
-        return [(int(sums[e] - sums[b]), int(bests[e] - bests[b])) for b, e in zip([0, *ends], ends, strict=False)]
+    def scores(self, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The count of each link, and whether it is its B id's highest."""
+        pairs, at = np.unique(links, return_inverse=True)
+        counts = self.counts(pairs)
+        return counts[at], (counts == self.highest[pairs % B_IDS])[at]
 
 
 MEASURES = "n_a long, n_b long, n_groups long, n_links long"
 
 
-class Measures:
-    """What is added up over the stretches of a text. Each group ends with one link."""
-
-    def __init__(self):
-        self.n_a = self.n_b = self.n_links = self.n_best = self.count_sum = 0
-        self.digest, self.begun, self.spelled = hashlib.sha256(), False, True
-
-    def add(self, parts: list[str], times: Counter[str], found: dict[str, Aligned]) -> None:
-        for part, n in times.items():
-            x = found[part]
-            self.n_a += n * x.n_a
-            self.n_b += n * x.n_b
-            self.n_links += n * len(x.links)
-        self.digest.update((";" * self.begun + ";".join([found[p].groups for p in parts])).encode())
-        self.begun = True
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
-    def add_scores(self, times: Counter[str], scores: dict[str, tuple[int, int]]) -> None:
-        for part, n in times.items():
-            total, best = scores[part]
-            self.count_sum += n * total
-            self.n_best += n * best
 
-    def row(self) -> tuple[int, int, int, int, str]:
-        if not (self.begun and self.spelled):
-            return 0, 0, 0, 0, ""
-        return self.n_a, self.n_b, self.n_links, self.n_links, self.digest.hexdigest()
-
-    def score(self) -> tuple[int, int]:
-        return (self.n_best, self.count_sum) if self.spelled else (0, 0)
+class Measures:
+    """What is added up over the stretches of a batch of texts. Each group ends with one link."""
+
+    def __init__(self, texts: int):
+        self.n_a, self.n_b, self.n_links, self.n_best, self.count_sum = np.zeros((5, texts), np.int64)
+        self.digests: list = [None] * texts
+        self.odd: set[int] = set()
+
+    def add(self, x: Aligned, groups: list[str], odd: set[int]) -> None:
+        self.odd |= odd
+        np.add.at(self.n_a, x.owners, np.diff(x.from_a))
+        np.add.at(self.n_b, x.owners, np.diff(x.from_b))
+        np.add.at(self.n_links, x.owners, np.diff(x.from_link))
+        for i, text in zip(x.owners, groups, strict=True):
+            if self.digests[i] is None:
+                self.digests[i] = hashlib.sha256(text.encode())
+            else:
+                self.digests[i].update(b";" + text.encode())
+
+    def add_scores(self, x: Aligned, counts: np.ndarray, best: np.ndarray) -> None:
+        np.add.at(self.count_sum, x.owners, np.diff(np.concatenate([[0], np.cumsum(counts)])[x.from_link]))
+        np.add.at(self.n_best, x.owners, np.diff(np.concatenate([[0], np.cumsum(best)])[x.from_link]))
+
+    def rows(self, ids: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({
+            "doc_id": ids.astype("Int64"), "n_a": self.n_a, "n_b": self.n_b, "n_groups": self.n_links, "n_links": self.n_links,
+            "n_best": self.n_best, "count_sum": self.count_sum,
+            "groups_sha256": ["" if d is None else d.hexdigest() for d in self.digests],
+        })
+        odd = list(self.odd)
+        out.loc[odd, COLUMNS[1:-1]] = 0
+        out.loc[odd, "groups_sha256"] = ""
+        return out[COLUMNS]
 
 
 def looked_up(docs: DataFrame, vectors: DataFrame, highest: np.ndarray, paths: tuple[str, str]) -> DataFrame:
@@ -417,29 +432,13 @@ def looked_up(docs: DataFrame, vectors: DataFrame, highest: np.ndarray, paths: t
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner, lookup = loaded(*paths), Lookup(*sent.value)
-        scores: dict[str, tuple[int, int]] = {}
         for batch in batches:
-            measures = [Measures() for _ in range(len(batch))]
-            for chunk in chunks(batch["text"].tolist()):
-                work, links = [], {}
-                for i, stretch in chunk:
-                    times = Counter(parts := CUT.split(stretch))
-                    found = aligner.parts(times)
-                    if found is None:
-                        measures[i].spelled = False
-                    else:
-                        measures[i].add(parts, times, found)
-                        work.append((i, times))
-                        links.update((p, x.links) for p, x in found.items())
-                if len(scores) > PARTS_KEPT:
-                    scores = {}
-                new = [p for p in links if p not in scores]
-                scores.update(zip(new, lookup.scores([links[p] for p in new]), strict=True))
-                for i, times in work:
-                    measures[i].add_scores(times, scores)
-            rows = [(d, *m.row()[:4], *m.score(), m.row()[4]) for d, m in zip(batch["doc_id"], measures, strict=True)]
-            out = pd.DataFrame(rows, columns=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-            yield out.astype({"doc_id": "Int64"})
+            measures = Measures(len(batch))
+            for chunk in chunks(batch["text"].tolist(), WINDOW):
+                found, odd = aligner.align(chunk)
+                measures.add(found, aligner.groups(found), odd)
+                measures.add_scores(found, *lookup.scores(found.links()))
+            yield measures.rows(batch["doc_id"].reset_index(drop=True))
 
     shape = f"doc_id long, {MEASURES}, n_best long, count_sum long, groups_sha256 string"
     return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, shape)
@@ -451,22 +450,18 @@ def joined_up(docs: DataFrame, vectors: DataFrame, highest: DataFrame, paths: tu
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner = loaded(*paths)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                measure, links = Measures(), Counter()
-                for stretch in stretches(text):
-                    times = Counter(parts := CUT.split(stretch))
-                    found = aligner.parts(times)
-                    if found is None:
-                        measure.spelled, links = False, Counter()
-                        break
-                    measure.add(parts, times, found)
-                    for part, n in times.items():
-                        for pair in found[part].links.tolist():
-                            links[pair] += n
-                rows.append((doc_id, *measure.row(), list(links), list(links.values())))
-            names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            measures, links = Measures(len(batch)), [[np.zeros(0, np.int64)] for _ in range(len(batch))]
+            for chunk in chunks(batch["text"].tolist(), WINDOW):
+                found, odd = aligner.align(chunk)
+                measures.add(found, aligner.groups(found), odd)
+                for i, own in zip(found.owners, np.split(found.links(), found.from_link[1:-1]), strict=False):
+                    links[i].append(own)
+            counted = [
+                np.unique(np.concatenate(own[:1] if i in measures.odd else own), return_counts=True)
+                for i, own in enumerate(links)
+            ]
+            out = measures.rows(batch["doc_id"].reset_index(drop=True)).drop(columns=["n_best", "count_sum"])
+            yield out.assign(pairs=[p for p, _ in counted], times=[n for _, n in counted])
 
     shape = f"doc_id long, {MEASURES}, groups_sha256 string, pairs array<long>, times array<long>"
     found = docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, shape)
@@ -508,11 +503,14 @@ def groups(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner = loaded(*paths)
         for batch in batches:
-            joined = []
-            for text in batch["text"]:
-                parts = [p for s in stretches(text) for p in CUT.split(s)]
-                found = aligner.parts(Counter(parts))
-                joined.append("" if found is None else ";".join([found[p].groups for p in parts]))
+            shown: list[list[str]] = [[] for _ in range(len(batch))]
+            unspelled: set[int] = set()
+            for chunk in chunks(batch["text"].tolist(), WINDOW):
+                found, odd = aligner.align(chunk)
+                unspelled |= odd
+                for i, text in zip(found.owners, aligner.groups(found), strict=True):
+                    shown[i].append(text)
+            joined = ["" if i in unspelled else ";".join(x) for i, x in enumerate(shown)]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "groups": joined})
 
     return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, "doc_id long, groups string")

@@ -12,6 +12,8 @@ from tokenizers import Tokenizer
 
 #: Characters whose class no release of Unicode has changed lately, so that any two libraries cut them alike.
 SETTLED = [*range(0x00, 0x1C), *range(0x20, 0x250), *range(0x400, 0x482), *range(0x2010, 0x2028), 0x20AC]
+#: What the vocabulary's pre-tokenizer cuts a text into, a fixed rule.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHED_PIECES = 400_000
 WINDOW = 1 << 20
 
