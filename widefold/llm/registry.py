@@ -20,6 +20,7 @@ from widefold.llm import (
     quotations,
     secrets,
     simhash,
+    suffix_dedup,
 )
 
 
@@ -36,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": licenses.query,
         "op10_simhash": simhash.query,
         "op11_alignment": alignment.query,
+        "op12_suffix_dedup": suffix_dedup.query,
         "op13_prefix_tree": prefix_tree.query,
         "pipeline": corpus_pipeline.run,
     }
