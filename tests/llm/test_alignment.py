@@ -106,11 +106,12 @@ def test_given_texts(spark):
 
 
 def test_counts_by_pair(docs):
+    tokens = alignment.tokenised(docs, alignment.vocabulary_paths())
     counts = Counter()
     for _, text in ROWS:
         ids_a, ids_b, ends_a, ends_b = whole(text or "")
         counts.update((a, b) for a, i in zip(ids_a, ends_a) for b, j in zip(ids_b, ends_b) if i == j)
-    assert {(r["a"], r["b"]): r["n"] for r in alignment.pairs_of(alignment.pair_counts(docs)).collect()} == counts
+    assert {(r["a"], r["b"]): r["n"] for r in alignment.pairs_of(alignment.pair_counts(tokens)).collect()} == counts
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])

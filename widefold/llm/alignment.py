@@ -12,7 +12,8 @@ a pair it does not know. A second pass aligns the texts anew and looks their pai
 What the tasks of the second pass hold are 13 bytes or so a pair. Up to `LIMIT` bytes, measured, the vectors
 are sent to them; beyond that the pairs of each text are joined to the counts by shuffle.
 
-Neither tokenizer has a token across a single space between two characters that are no white space, so very
+Texts are cut into tokens once and their ids kept in a table from which both passes align, since that costs a fifth
+of cutting them. Neither tokenizer has a token across a single space between two characters that are no white space, so very
 long texts are cut there, and a task holds the tokens of about `WINDOW` characters.
 
 Null text, empty text, and texts that the tokens of either don't spell have no tokens: zeros and ''. Strings of
@@ -112,26 +113,29 @@ class Aligner:
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
     def ids_a(self, text: str) -> np.ndarray:
-        """A's ids. Texts with characters that two libraries may cut differently go to the tokenizer itself."""
+        """A's ids, which spell every text byte by byte.
+
+        Texts with characters that two libraries may cut differently go to the tokenizer itself.
+        """
         if patterns()[1].fullmatch(text):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.int64)
 
-    def align(self, chunk: list[tuple[int, str]]) -> tuple[Aligned, set[int]]:
-        """The alignment of stretches with the number of their text; and the texts that are not spelled."""
-        owners, all_a, all_b, odd = [], [], [], set()
+    def tokens(self, chunk: list[tuple[int, str]]) -> Iterator[tuple[int, bytes | None, bytes | None]]:
+        """Number of the text and ids of both, two bytes each, of stretches; no ids where they don't spell it.
+
+        B encodes a stretch with a space put ahead. All it can fail to spell is its own mark for spaces.
+        """
         for (i, stretch), ids_b in zip(chunk, self.b.encode([s for _, s in chunk], num_threads=1), strict=True):
-            whole = b" " + stretch.encode("utf-8", "surrogatepass")
-            ids_a = self.ids_a(" " + stretch)
-            if (
-                b"".join(map(self.bytes_b.__getitem__, ids_b)) != whole
-                or b"".join(map(self.bytes_a.__getitem__, ids_a.tolist())) != whole
-            ):
-                odd.add(i)
-                continue
-            owners.append(i)
-            all_a.append(ids_a)
-            all_b.append(np.array(ids_b, np.int64))
+            ids_a, whole = self.ids_a(" " + stretch), b" " + stretch.encode("utf-8", "surrogatepass")
+            if int(self.length_a[ids_a].sum()) == len(whole) and b"".join(map(self.bytes_b.__getitem__, ids_b)) == whole:
+                yield i, ids_a.astype("<u2").tobytes(), np.array(ids_b, "<u2").tobytes()
+            else:
+                yield i, None, None
+
+    def align(self, chunk: list[tuple[int, bytes, bytes]]) -> Aligned:
+        """The alignment of stretches, given as number of the text and ids of both."""
+        all_a, all_b = ([np.frombuffer(x[side], "<u2") for x in chunk] for side in (1, 2))
         a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (all_a, all_b))
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         size = int(ends_a[-1]) + 1 if len(a) else 0
@@ -139,7 +143,8 @@ class Aligner:
         ends_of_a[ends_a], ends_of_b[ends_b] = True, True
         last_a, last_b = np.flatnonzero(ends_of_b[ends_a]), np.flatnonzero(ends_of_a[ends_b])
         from_a, from_b = (np.cumsum([0, *map(len, x)]) for x in (all_a, all_b))
-        return Aligned(owners, a, b, last_a, last_b, from_a, from_b, np.searchsorted(last_a, from_a)), odd
+        owners = [i for i, _, _ in chunk]
+        return Aligned(owners, a, b, last_a, last_b, from_a, from_b, np.searchsorted(last_a, from_a))
 
     def groups(self, x: Aligned) -> list[str]:
         """The groups of each stretch as `a1,a2|b1;a3|b2,b3`."""
@@ -147,8 +152,11 @@ class Aligner:
         closes_a, closes_b = np.zeros(len(x.a), bool), np.zeros(len(x.b), bool)
         closes_a[x.last_a], closes_b[x.last_b] = True, True
         group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        shown = np.concatenate([x.a + n_a * closes_a, x.b + 2 * n_a + n_b * closes_b])[order].tolist()
+        # A token's place: its own tokens ahead, and the other side's of the groups that come first.
+        written = np.empty(len(x.a) + len(x.b), np.int64)
+        written[np.arange(len(x.a)) + np.concatenate([[0], x.last_b + 1])[group_a]] = x.a + n_a * closes_a
+        written[np.arange(len(x.b)) + np.concatenate([x.last_a + 1, [0]])[group_b]] = x.b + 2 * n_a + n_b * closes_b
+        shown = written.tolist()
         bounds = (x.from_a + x.from_b).tolist()
         get = self.written.__getitem__
         return ["".join(map(get, shown[s:e]))[:-1] for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -167,20 +175,25 @@ def stretches(text: str, window: int) -> Iterator[str]:
         yield text[start:]
 
 
-def chunks(texts: list[str], window: int) -> Iterator[list[tuple[int, str]]]:
-    """The stretches of texts with the number of their text, about window characters at a time."""
+def chunks(pieces: Iterator[tuple], window: int) -> Iterator[list[tuple]]:
+    """Numbered pieces, of about window characters or bytes together."""
     chunk, size = [], 0
-    for i, text in enumerate(texts):
-        for stretch in stretches(text, window):
-            chunk.append((i, stretch))
-            size += len(stretch)
-            if size >= window:
-                yield chunk
-                chunk, size = [], 0
+    for piece in pieces:
+        chunk.append(piece)
+        size += len(piece[1])
+        if size >= window:
+            yield chunk
+            chunk, size = [], 0
     if chunk:
         yield chunk
 
 
+def token_chunks(batch: pd.DataFrame, window: int) -> Iterator[list[tuple[int, bytes, bytes]]]:
+    """The tokens of a batch of texts, in chunks for align."""
+    sides = zip(batch["a"], batch["b"], strict=True)
+    return chunks(((i, a, b) for i, (x, y) in enumerate(sides) for a, b in zip(x, y, strict=True)), window)
+
+
 @cache
 def loaded(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
@@ -267,24 +280,46 @@ def shard_of(pairs: np.ndarray, shards: int) -> np.ndarray:
 # ---- the passes ----------------------------------------------------------------------------------
 
 
-def linked_pairs(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """pair and n, the links of each pair, added up within chunks; the first pass."""
+def tokenised(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """doc_id, a and b: the ids of both tokenizers, two bytes each, in stretches; none where a text has no tokens.
+
+    Both passes read them from here, so that texts are cut into tokens once.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner = loaded(*paths)
         for batch in batches:
-            texts = batch["text"].tolist()
-            odd = {i for i, t in enumerate(texts) if len(t) > WINDOW and not spelled(aligner, t, WINDOW)}
-            for chunk in chunks(["" if i in odd else t for i, t in enumerate(texts)], WINDOW):
-                found, n = np.unique(aligner.align(chunk)[0].links(), return_counts=True)
-                yield pd.DataFrame({"pair": found, "n": n})
-
-    return docs.select(whole_text().alias("text")).mapInPandas(run, "pair long, n long")
+            pieces = ((i, s) for i, text in enumerate(batch["text"]) for s in stretches(text, WINDOW))
+            sides: list[tuple[list, list]] = [([], []) for _ in range(len(batch))]
+            odd = set()
+            for chunk in chunks(pieces, WINDOW):
+                for i, a, b in aligner.tokens(chunk):
+                    if a is None:
+                        odd.add(i)
+                    else:
+                        sides[i][0].append(a)
+                        sides[i][1].append(b)
+            sides = [([], []) if i in odd else x for i, x in enumerate(sides)]
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"].astype("Int64"), "a": pd.Series([a for a, _ in sides], batch.index),
+                "b": pd.Series([b for _, b in sides], batch.index),
+            })
+
+    rows = docs.select("doc_id", whole_text().alias("text"))
+    return rows.mapInPandas(run, "doc_id long, a array<binary>, b array<binary>")
+
+
+def linked_pairs(tokens: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """pair and n, the links of each pair, added up within chunks; the first pass."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        aligner = loaded(*paths)
+        for batch in batches:
+            for chunk in token_chunks(batch, WINDOW):
+                at, found = pd.factorize(aligner.align(chunk).links())
+                yield pd.DataFrame({"pair": found, "n": np.bincount(at, minlength=len(found))})
 
-def spelled(aligner: Aligner, text: str, window: int) -> bool:
-    """Whether all stretches of a long text are spelled by the tokens of both."""
-    return not any(aligner.align([(0, s)])[1] for s in stretches(text, window))
+    return tokens.select("a", "b").mapInPandas(run, "pair long, n long")
 
 
 def shard_column(shards: int):
@@ -336,13 +371,13 @@ def count_vectors(sums: DataFrame, functions: DataFrame) -> DataFrame:
     return vectors.drop("node")
 
 
-def pair_counts(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
+def pair_counts(tokens: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     """shard, levels, keys and counts: the functions of all shards and their vectors, stored."""
-    sums = materialise(linked_pairs(docs, paths or vocabulary_paths()))
+    sums = materialise(linked_pairs(tokens, paths or vocabulary_paths()))
     distinct = materialise(sums.select("pair").distinct())
     shards = max(1, -(-distinct.count() // SHARD))
     functions = materialise(build_functions(distinct.withColumn("shard", shard_column(shards)("pair"))))
-    leaf = F.pmod(F.spark_partition_id(), F.lit(LEAVES)).alias("leaf")
+    leaf = F.pmod(F.xxhash64("pair", "n"), F.lit(LEAVES)).cast("int").alias("leaf")
     leaves = sums.select("pair", "n", leaf).groupBy("pair", "leaf").agg(F.sum("n").alias("n"))
     vectors = count_vectors(leaves.withColumn("shard", shard_column(shards)("pair")), functions)
     return materialise(functions.join(vectors, "shard"))
@@ -379,7 +414,7 @@ class Lookup:
 
     def scores(self, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The count of each link, and whether it is its B id's highest."""
-        pairs, at = np.unique(links, return_inverse=True)
+        at, pairs = pd.factorize(links)
         counts = self.counts(pairs)
         return counts[at], (counts == self.highest[pairs % B_IDS])[at]
 
@@ -396,10 +431,8 @@ class Measures:
     def __init__(self, texts: int):
         self.n_a, self.n_b, self.n_links, self.n_best, self.count_sum = np.zeros((5, texts), np.int64)
         self.digests: list = [None] * texts
-        self.odd: set[int] = set()
 
-    def add(self, x: Aligned, groups: list[str], odd: set[int]) -> None:
-        self.odd |= odd
+    def add(self, x: Aligned, groups: list[str]) -> None:
         np.add.at(self.n_a, x.owners, np.diff(x.from_a))
         np.add.at(self.n_b, x.owners, np.diff(x.from_b))
         np.add.at(self.n_links, x.owners, np.diff(x.from_link))
@@ -419,52 +452,46 @@ class Measures:
             "n_best": self.n_best, "count_sum": self.count_sum,
             "groups_sha256": ["" if d is None else d.hexdigest() for d in self.digests],
         })
-        odd = list(self.odd)
-        out.loc[odd, COLUMNS[1:-1]] = 0
-        out.loc[odd, "groups_sha256"] = ""
         return out[COLUMNS]
 
 
-def looked_up(docs: DataFrame, vectors: DataFrame, highest: np.ndarray, paths: tuple[str, str]) -> DataFrame:
+def looked_up(tokens: DataFrame, vectors: DataFrame, highest: np.ndarray, paths: tuple[str, str]) -> DataFrame:
     """The second pass where the vectors fit: each task looks its pairs up."""
     names = ["shard", "levels", "keys", "counts"]
-    sent = docs.sparkSession.sparkContext.broadcast(([tuple(r) for r in vectors.select(*names).collect()], highest))
+    sent = tokens.sparkSession.sparkContext.broadcast(([tuple(r) for r in vectors.select(*names).collect()], highest))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner, lookup = loaded(*paths), Lookup(*sent.value)
         for batch in batches:
             measures = Measures(len(batch))
-            for chunk in chunks(batch["text"].tolist(), WINDOW):
-                found, odd = aligner.align(chunk)
-                measures.add(found, aligner.groups(found), odd)
+            for chunk in token_chunks(batch, WINDOW):
+                found = aligner.align(chunk)
+                measures.add(found, aligner.groups(found))
                 measures.add_scores(found, *lookup.scores(found.links()))
             yield measures.rows(batch["doc_id"].reset_index(drop=True))
 
     shape = f"doc_id long, {MEASURES}, n_best long, count_sum long, groups_sha256 string"
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, shape)
+    return tokens.mapInPandas(run, shape)
 
 
-def joined_up(docs: DataFrame, vectors: DataFrame, highest: DataFrame, paths: tuple[str, str]) -> DataFrame:
+def joined_up(tokens: DataFrame, vectors: DataFrame, highest: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """The second pass where the vectors are too large to send: the pairs of each text are joined to the counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner = loaded(*paths)
         for batch in batches:
             measures, links = Measures(len(batch)), [[np.zeros(0, np.int64)] for _ in range(len(batch))]
-            for chunk in chunks(batch["text"].tolist(), WINDOW):
-                found, odd = aligner.align(chunk)
-                measures.add(found, aligner.groups(found), odd)
-                for i, own in zip(found.owners, np.split(found.links(), found.from_link[1:-1]), strict=False):
+            for chunk in token_chunks(batch, WINDOW):
+                found = aligner.align(chunk)
+                measures.add(found, aligner.groups(found))
+                for i, own in zip(found.owners, np.split(found.links(), found.from_link[1:-1]), strict=True):
                     links[i].append(own)
-            counted = [
-                np.unique(np.concatenate(own[:1] if i in measures.odd else own), return_counts=True)
-                for i, own in enumerate(links)
-            ]
+            counted = [np.unique(np.concatenate(own), return_counts=True) for own in links]
             out = measures.rows(batch["doc_id"].reset_index(drop=True)).drop(columns=["n_best", "count_sum"])
             yield out.assign(pairs=[p for p, _ in counted], times=[n for _, n in counted])
 
     shape = f"doc_id long, {MEASURES}, groups_sha256 string, pairs array<long>, times array<long>"
-    found = docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, shape)
+    found = tokens.mapInPandas(run, shape)
     found = materialise(found.withColumn("row", F.monotonically_increasing_id()))
     pair = (F.col("a") * B_IDS + F.col("b")).alias("pair")
     scored = pairs_of(vectors).join(F.broadcast(highest), "b").select(pair, "n", (F.col("n") == F.col("highest")).alias("best"))
@@ -484,16 +511,17 @@ def joined_up(docs: DataFrame, vectors: DataFrame, highest: DataFrame, paths: tu
 def alignments(docs: DataFrame, paths: tuple[str, str] | None = None, limit: int = LIMIT) -> DataFrame:
     """One row per document: its tokens, groups and links, and what their pairs count in all documents."""
     paths = paths or vocabulary_paths()
-    vectors = pair_counts(docs, paths)
+    tokens = materialise(tokenised(docs, paths))
+    vectors = pair_counts(tokens, paths)
     # As many rows as the B vocabulary at most.
     highest = materialise(pairs_of(vectors).groupBy("b").agg(F.max("n").alias("highest")))
     size = vectors.agg(F.sum(F.length("levels") + F.length("keys") + F.length("counts")).alias("n")).first()["n"]
     if (size or 0) > limit:
-        return joined_up(docs, vectors, highest, paths)
+        return joined_up(tokens, vectors, highest, paths)
     best = np.zeros(B_IDS, np.int64)
     for row in highest.collect():
         best[row["b"]] = row["highest"]
-    return looked_up(docs, vectors, best, paths)
+    return looked_up(tokens, vectors, best, paths)
 
 
 def groups(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
@@ -504,16 +532,14 @@ def groups(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
         aligner = loaded(*paths)
         for batch in batches:
             shown: list[list[str]] = [[] for _ in range(len(batch))]
-            unspelled: set[int] = set()
-            for chunk in chunks(batch["text"].tolist(), WINDOW):
-                found, odd = aligner.align(chunk)
-                unspelled |= odd
+            for chunk in token_chunks(batch, WINDOW):
+                found = aligner.align(chunk)
                 for i, text in zip(found.owners, aligner.groups(found), strict=True):
                     shown[i].append(text)
-            joined = ["" if i in unspelled else ";".join(x) for i, x in enumerate(shown)]
+            joined = [";".join(x) for x in shown]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "groups": joined})
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, "doc_id long, groups string")
+    return tokenised(docs, paths).mapInPandas(run, "doc_id long, groups string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
