@@ -40,11 +40,11 @@ from widefold.plans.small_side import join_lookup, materialise
 LENGTH = 200
 ANCHOR_BYTES = 64
 #: Bytes of text whose hashes are worked out at once, and bits that hold a place among them.
-PIECE = 1 << 20
+PIECE = 1 << 18
 PLACE_BITS = 22
 #: Kinds of stretches of one anchor that share a suffix array, and bytes of stretches sorted together.
-TOGETHER = 1_000
-SORTED_BYTES = 1 << 19
+TOGETHER = 8_192
+SORTED_BYTES = 1 << 18
 #: An odd number that polynomial hashes are built on.
 BASE = 0x9E3779B97F4A7C15
 
@@ -227,12 +227,13 @@ def cut_out(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for r in batch.itertuples():
-                yield pd.DataFrame({
-                    "key": r.key, "doc_id": pd.array([None if pd.isna(r.doc_id) else r.doc_id] * len(r.starts), "Int64"),
-                    "start": r.starts, "anchor": r.anchors, "kinds": r.kinds,
-                    "bytes": [r.bytes[s:e] for s, e in zip(r.starts, r.ends, strict=True)],
-                })
+            times = batch["starts"].map(len).to_numpy()
+            cut = [t[s:e] for t, ss, es in zip(batch["bytes"], batch["starts"], batch["ends"], strict=True) for s, e in zip(ss, es, strict=True)]
+            joined = {c: np.concatenate([np.zeros(0, np.int64), *batch[c]]) for c in ("starts", "anchors", "kinds")}
+            yield pd.DataFrame({
+                "key": np.repeat(batch["key"].to_numpy(), times), "doc_id": batch["doc_id"].astype("Int64").repeat(times).array,
+                "start": joined["starts"], "anchor": joined["anchors"], "kinds": joined["kinds"], "bytes": cut,
+            })
 
     listed = F.collect_list(F.struct("start", "end", "anchor", "kinds")).alias("w")
     per_text = materialise(wanted.groupBy("key", F.col("doc_id").alias("first_id")).agg(listed).select(
@@ -279,14 +280,41 @@ def longest_previous(order: np.ndarray, common: np.ndarray, places: np.ndarray)
     return out
 
 
+def ranks_of(keys: np.ndarray) -> np.ndarray:
+    order = np.argsort(keys)
+    ahead = keys[order]
+    ranks = np.empty(len(keys), np.int64)
+    ranks[order] = np.cumsum(np.concatenate([[False], ahead[1:] != ahead[:-1]])) if len(keys) else 0
+    return ranks
+
+
+def prefix_ranks(data: np.ndarray, length: int) -> np.ndarray:
+    """Rank of the suffix at each place by its first `length` bytes, by doubling the bytes that count."""
+    known = min(8, length)
+    padded = np.concatenate([data, np.zeros(known, np.uint8)])
+    words = np.zeros(len(data), np.uint64)
+    for i in range(known):
+        words = (words << np.uint64(8)) | padded[i : i + len(data)]
+    ranks = ranks_of(words)
+    while known < length:
+        step = min(known, length - known)
+        behind = np.zeros(len(data), np.int64)
+        behind[: len(data) - step] = ranks[step:]
+        ranks = ranks_of(ranks * (len(data) + 1) + behind)
+        known += step
+    return ranks
+
+
 def sorted_suffixes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order by the first `length` bytes, equal ones by place, and bytes shared with the one ahead."""
-    strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[starts])
-    order = np.argsort(strings.view(f"S{length}").ravel(), kind="stable")
-    strings = strings[order]
-    differ = strings[1:] != strings[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), length)
-    return order, np.concatenate([[0], common]) if len(order) else common
+    """Order of suffixes by their first `length` bytes, equal ones by place; and what each shares with the one ahead.
+
+    Only whether that is `length` bytes matters, so less counts as nothing.
+    """
+    ranks = prefix_ranks(data, length)[starts]
+    order = np.argsort(ranks, kind="stable")
+    common = np.zeros(len(order), np.int64)
+    common[1:][ranks[order[1:]] == ranks[order[:-1]]] = length
+    return order, common
 
 
 MATCHES = "key binary, doc_id long, start long, end long, digest binary"
@@ -321,28 +349,26 @@ def matches(length: int, keep: str):
         if dealt.any():
             heads = np.sort(order[common < length])
             heads = heads[dealt[owner[heads]]]
-            digests = [xxhash.xxh3_128_digest(data[s : s + length].tobytes()) for s in starts[heads].tolist()]
+            digests = [xxhash.xxh3_128_digest(data[s : s + length]) for s in starts[heads].tolist()]
             at = base[owner[heads]] + inside[heads]
             own = rows.iloc[owner[heads]][["key", "doc_id"]]
             out = pd.concat([out, own.assign(start=at, end=at + length, digest=digests)], ignore_index=True)
         return out.astype({"doc_id": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[pd.DataFrame] = []
-        size = 0
+        rest = None
         for batch in batches:
-            ids = batch[["anchor", "block"]].to_numpy()
-            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), len(batch)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                part = batch.iloc[a:b]
-                goes_on = waiting and (waiting[-1][["anchor", "block"]].iloc[-1] == part[["anchor", "block"]].iloc[0]).all()
-                if size > SORTED_BYTES and not goes_on:
-                    yield found(pd.concat(waiting))
-                    waiting, size = [], 0
-                waiting.append(part)
-                size += part["bytes"].map(len).sum()
-        if waiting:
-            yield found(pd.concat(waiting))
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            ids = rows[["anchor", "block"]].to_numpy()
+            ends = np.concatenate([[0], np.cumsum(rows["bytes"].map(len).to_numpy())])
+            begin = 0
+            for cut in (np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist():
+                if ends[cut] - ends[begin] >= SORTED_BYTES:
+                    yield found(rows.iloc[begin:cut])
+                    begin = cut
+            rest = rows.iloc[begin:]
+        if rest is not None and len(rest):
+            yield found(rest)
 
     return run
 
