@@ -5,6 +5,7 @@ from __future__ import annotations
 from widefold.model import flat_schema, group_columns
 
 CUT = "2024-01-16 00:00:00"
+HALF_DAYS = ["2024-01-01 00:00:00", "2024-01-10 12:00:00", "2024-01-20 12:00:00", "2024-01-31 00:00:00"]
 
 
 def build() -> dict[str, str]:
@@ -21,6 +22,10 @@ def build() -> dict[str, str]:
 SELECT customer_id, kind, key,
   round(sum(CASE WHEN kind = 'int' THEN CAST(ival AS DOUBLE) ELSE CAST(CAST(dval AS FLOAT) AS DOUBLE) END), 3) AS total
 FROM cells GROUP BY ALL"""
+    between = f"ts >= TIMESTAMP '{HALF_DAYS[1]}' AND ts < TIMESTAMP '{HALF_DAYS[2]}'"
+    texts["load_half_days"] = all_rows("minute", "FROM events")
+    texts["load_vanished_tenant"] = all_rows("minute", f"FROM events WHERE NOT (user_id % 3 = 1 AND {between})")
+    texts["load_one_tenant"] = all_rows("hour", f"FROM events WHERE NOT (user_id % 3 = 1 AND event_type = 'click' AND {between})")
     for name in ("mapping_from_json", "mapping_from_tables"):
         texts[name] = f'WITH {base}\nSELECT customer_id, kind, key, idx, kind || idx AS "column" FROM mapping'
     flat_rows = f"""WITH {raw},
@@ -52,6 +57,25 @@ SELECT {oracle.METRIC}, schema_type, {oracle.summary_sql('seconds')} FROM sample
     return texts
 
 
+def all_rows(grain: str, rows: str) -> str:
+    """Every group with every key of its tenant, 0 where the group lacks it; rows: which events are there."""
+    from checks import oracle
+
+    base = oracle.BASE.replace("FROM events", rows, 1)
+    return f"""WITH {base},
+{oracle.groups(grain)},
+{oracle.cells(grain)},
+names AS (SELECT DISTINCT CAST(user_id % 3 AS INTEGER) AS customer_id, kind, key FROM (
+  {oracle.BASE.join(["WITH ", " SELECT user_id, kind, key FROM entries WHERE trim(key) <> ''"])}))
+SELECT groups.t AS "timestampMs", groups.client AS "clientId", groups.session AS "sessionId", groups.customer_id AS "customerId",
+  groups.s.platform AS platform, groups.s.appVersion AS "appVersion", names.kind, names.key,
+  round(CAST(CASE WHEN names.kind = 'int' THEN coalesce(CAST(ival AS DOUBLE), 0)
+    ELSE coalesce(CAST(CAST(dval AS FLOAT) AS DOUBLE), 0) END AS DOUBLE), 3) AS value
+FROM groups JOIN names USING (customer_id)
+LEFT JOIN cells ON cells.t = groups.t AND cells.client = groups.client AND cells.session = groups.session
+  AND cells.customer_id = groups.customer_id AND cells.kind = names.kind AND cells.key = names.key"""
+
+
 def preagg(grain: str) -> str:
     from checks import oracle
 

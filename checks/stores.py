@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.oracle_stores import CUT
+from checks.oracle_stores import CUT, HALF_DAYS
 from widefold.fixtures import load_log, timing_samples
 from widefold.functions.times import day_range
 from widefold.model import GROUP_KEYS, column_class, flat_schema, group_columns
@@ -57,6 +57,41 @@ def load_two_days(t: Stored) -> DataFrame:
     return totals_by_key(load_days(late, path))
 
 
+def load_half_days(t: Stored) -> DataFrame:
+    """All days in three ranges cut at noon, the last one first and the first one twice."""
+    path = new_folder(t.wide.sparkSession)
+    ranges = list(zip(HALF_DAYS[:-1], HALF_DAYS[1:], strict=True))
+    for start, end in [*reversed(ranges), ranges[0]]:
+        load = load_days(t.wide, path, start, end)
+    return all_rows(load)
+
+
+def load_vanished_tenant(t: Stored) -> DataFrame:
+    """A range that begins and ends inside days, loaded again from a fact without tenant 1."""
+    path = new_folder(t.wide.sparkSession)
+    load_days(t.wide, path, HALF_DAYS[0], HALF_DAYS[-1])
+    return all_rows(load_days(t.wide.where("customerId <> 1"), path, HALF_DAYS[1], HALF_DAYS[2]))
+
+
+def load_one_tenant(t: Stored) -> DataFrame:
+    """The same range, loaded again for tenant 1 alone and by the hour; other tenants stay."""
+    path = new_folder(t.wide.sparkSession)
+    load_days(t.wide, path, HALF_DAYS[0], HALF_DAYS[-1], grain="hour")
+    fewer = t.wide.where("flowId <> 'click'")
+    return all_rows(load_days(fewer, path, HALF_DAYS[1], HALF_DAYS[2], grain="hour", tenants=[1]))
+
+
+def all_rows(load: Load) -> DataFrame:
+    """Metrics by group and key, which does not depend on the order in which loads number new keys."""
+    names = [c for c in load.flat.columns if column_class(c) in ("int", "float")]
+    cells = ", ".join(f"struct('{c}' AS column, CAST({c} AS DOUBLE) AS value)" for c in names)
+    keys = load.mapping.keys.withColumnRenamed("customer_id", "customerId")
+    rows = load.flat.selectExpr(*GROUP_KEYS, "platform", "appVersion", f"inline(array({cells}))")
+    return rows.join(keys, ["customerId", "column"]).select(
+        *GROUP_KEYS, "platform", "appVersion", "kind", "key", F.round("value", 3).alias("value")
+    )
+
+
 def stored_mapping(t: Stored, as_json: bool) -> DataFrame:
     spark, path = t.wide.sparkSession, new_folder(t.wide.sparkSession)
     if as_json:
@@ -178,6 +213,9 @@ def rows_of_a_day(t: Stored) -> DataFrame:
 def on_tables() -> dict[str, Callable[[Stored], DataFrame]]:
     return {
         "load_two_days": load_two_days,
+        "load_half_days": load_half_days,
+        "load_vanished_tenant": load_vanished_tenant,
+        "load_one_tenant": load_one_tenant,
         "mapping_from_json": lambda t: stored_mapping(t, True),
         "mapping_from_tables": lambda t: stored_mapping(t, False),
         "created_table": lambda t: created_table(t, "v1"),

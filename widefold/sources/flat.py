@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from widefold.functions.times import start_of
 from widefold.model import DEFAULTED_COLUMNS, column_class
+from widefold.sources.loads import VERSION_COLUMN, Record, has_record, is_live, read_record
 
 PARTITION_COLUMNS = ["eventDate", "customerId"]
 
@@ -32,14 +33,8 @@ def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: s
     """
     modes = {"partitions": ("overwrite", "dynamic"), "replace": ("overwrite", "static"), "append": ("append", "static")}
     save_mode, overwrite = modes[mode]
-    placed = flat.withColumn("eventDate", F.to_date("timestampMs"))
-    if sort_key == "hour":
-        placed = placed.withColumn("hour", start_of("hour", "timestampMs"))
-    ordered = placed.repartitionByRange(*PARTITION_COLUMNS, *RANGE_KEYS[sort_key]).sortWithinPartitions(
-        *PARTITION_COLUMNS, *SORT_KEYS[sort_key]
-    )
     (
-        ordered.drop("hour")
+        in_order(flat, sort_key)
         .write.mode(save_mode)
         .option("partitionOverwriteMode", overwrite)
         .option("compression", "zstd")
@@ -48,6 +43,25 @@ def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: s
     )
 
 
+def in_order(flat: DataFrame, sort_key: str) -> DataFrame:
+    """The rows with eventDate, dealt out by ranges and sorted as write_flat says."""
+    placed = flat.withColumn("eventDate", F.to_date("timestampMs"))
+    if sort_key == "hour":
+        placed = placed.withColumn("hour", start_of("hour", "timestampMs"))
+    ordered = placed.repartitionByRange(*PARTITION_COLUMNS, *RANGE_KEYS[sort_key]).sortWithinPartitions(
+        *PARTITION_COLUMNS, *SORT_KEYS[sort_key]
+    )
+    return ordered.drop("hour")
+
+
+def write_version(flat: DataFrame, path: str, version: str, sort_key: str = "client") -> None:
+    """Add a version of the days that the rows hold. It becomes visible with its line in the record."""
+    rows = in_order(flat, sort_key).withColumn(VERSION_COLUMN, F.lit(version))
+    rows.write.mode("append").option("compression", "zstd").partitionBy(
+        "eventDate", VERSION_COLUMN, "customerId"
+    ).parquet(path)
+
+
 def file_overlaps(flat: DataFrame, sort_key: str = "client") -> DataFrame:
     """customer_id, and how many of the tenant's files begin before one ahead of them has ended.
 
@@ -74,14 +88,22 @@ def table_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("eventDate", T.DateType())])
 
 
-def read_flat(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_flat(spark: SparkSession, path: str, schema: T.StructType, record: Record | None = None) -> DataFrame:
     """Flat fact from Parquet, with a given schema, so that no file is opened to infer one.
 
-    Files of earlier loads lack the columns that later ones added. The reader gives 0 there, as the
+    Of a table that loads have filled, the versions that a record names are read, by default its last
+    line. Files of earlier loads lack the columns that later ones added. The reader gives 0 there, as the
     column's default; a coalesce after the scan would keep conditions such as intN > 0 from it.
     """
-    stored = spark.read.schema(table_schema(with_zeros(schema))).parquet(path)
-    return stored.select(*[f.name for f in schema.fields], "eventDate")
+    stored = table_schema(with_zeros(schema))
+    names = [f.name for f in schema.fields]
+    if record is None and not has_record(spark, path):
+        return spark.read.schema(stored).parquet(path).select(*names, "eventDate")
+    record = record or read_record(spark, path)
+    if not record.live:
+        return spark.createDataFrame([], stored).select(*names, "eventDate")
+    versioned = T.StructType([*stored.fields, T.StructField(VERSION_COLUMN, T.StringType())])
+    return spark.read.schema(versioned).parquet(path).where(is_live(record.live)).select(*names, "eventDate")
 
 
 def with_zeros(schema: T.StructType) -> T.StructType:
