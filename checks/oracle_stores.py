@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from widefold.model import flat_schema, group_columns
+from widefold.model import STANDARD_COLUMNS, flat_schema, group_columns
 
 CUT = "2024-01-16 00:00:00"
 HALF_DAYS = ["2024-01-01 00:00:00", "2024-01-10 12:00:00", "2024-01-20 12:00:00", "2024-01-31 00:00:00"]
@@ -26,6 +26,16 @@ FROM cells GROUP BY ALL"""
     texts["load_half_days"] = all_rows("minute", "FROM events")
     texts["load_vanished_tenant"] = all_rows("minute", f"FROM events WHERE NOT (user_id % 3 = 1 AND {between})")
     texts["load_one_tenant"] = all_rows("hour", f"FROM events WHERE NOT (user_id % 3 = 1 AND event_type = 'click' AND {between})")
+    texts["discover_in_steps"] = f"""WITH {oracle.BASE},
+{oracle.TAGS}
+SELECT DISTINCT customer_id, kind, CAST(group_no AS INTEGER) AS group_no, key FROM entries WHERE trim(key) <> ''
+UNION ALL SELECT customer_id, 'string', 1, key FROM tags"""
+    texts["metric_by_catalogue"] = oracle.metric_sql(
+        oracle.RAW_VALUES, "dims", oracle.DIMS_METRIC, extra=f"AND ival > 0 AND event_type = '{oracle.DIMS_FLOW}'"
+    )
+    texts["flatten_hour_from_minutes"] = f"WITH {oracle.flat('hour')}\nSELECT * FROM flat"
+    texts["flatten_day_from_hours"] = f"WITH {oracle.flat('day')}\nSELECT * FROM flat"
+    texts["stored_view"] = tenant_view()
     for name in ("mapping_from_json", "mapping_from_tables"):
         texts[name] = f'WITH {base}\nSELECT customer_id, kind, key, idx, kind || idx AS "column" FROM mapping'
     flat_rows = f"""WITH {raw},
@@ -57,6 +67,18 @@ SELECT {oracle.METRIC}, schema_type, {oracle.summary_sql('seconds')} FROM sample
     return texts
 
 
+def tenant_view() -> str:
+    """The flat rows of a tenant with its metrics under their own names."""
+    from checks import oracle
+
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    ints = sorted(["event_count", "retries", *[f"f_{oracle.TENANT}_{k}_{m}" for k in kinds for m in ("success", "total_duration")]])
+    shown = [f'int{i} AS "{name}"' for i, name in enumerate(ints, 1)]
+    shown += [f'float{i} AS "{k}_value"' for i, k in enumerate(kinds, 1)]
+    standard = ", ".join(STANDARD_COLUMNS)
+    return f"WITH {oracle.flat('minute')}\nSELECT {standard}, {', '.join(shown)} FROM flat WHERE customerId = {oracle.TENANT}"
+
+
 def all_rows(grain: str, rows: str) -> str:
     """Every group with every key of its tenant, 0 where the group lacks it; rows: which events are there."""
     from checks import oracle

@@ -18,7 +18,7 @@ from checks.oracle import (
     TENANT,
     WINDOW_HOURS,
 )
-from checks.stores import DIGITS, rounded
+from checks.stores import DIGITS, plain_floats, rounded
 from widefold.fixtures import timing_samples, wide_fact
 from widefold.functions.maps import any_group_has, first_group_with, map_value
 from widefold.functions.times import window_end
@@ -58,13 +58,6 @@ def on_samples(query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(query(timing_samples(spark, sf_dir)), DIGITS)
 
 
-def plain_floats(df: DataFrame) -> DataFrame:
-    """Float columns as rounded doubles, without the storage column of the day."""
-    names = [c for c in df.columns if c != "eventDate"]
-    kinds = dict(df.dtypes)
-    return df.select(*[F.round(F.col(c).cast("double"), 4).alias(c) if kinds[c] == "float" else F.col(c) for c in names])
-
-
 def joined_keys(df: DataFrame) -> DataFrame:
     return df.withColumn("keys", F.array_join("keys", ","))
 

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks.oracle import DIMS_FLOW, DIMS_METRIC, END, START, TENANT
 from checks.oracle_stores import CUT, HALF_DAYS
 from widefold.fixtures import load_log, timing_samples
 from widefold.functions.times import day_range
 from widefold.model import GROUP_KEYS, column_class, flat_schema, group_columns
-from widefold.operators import logs, preagg, timing
+from widefold.operators import flatten, logs, metrics, preagg, timing
+from widefold.plans import key_catalogue, stored_views
 from widefold.plans.day_load import Load, load_days
-from widefold.plans.small_side import shared_folder
+from widefold.plans.small_side import materialise, shared_folder
 from widefold.plans.stored import Stored
 from widefold.sources import flat as flat_source
 from widefold.sources import mappings
 from widefold.sources.logs import read_logs
 from widefold.sources.timings import read_timings, write_csv, write_json
-from widefold.sources.wide import scan
+from widefold.sources.wide import scan, write_wide
 
 DIGITS = 6
 
@@ -92,6 +95,51 @@ def all_rows(load: Load) -> DataFrame:
     )
 
 
+def discover_in_steps(t: Stored) -> DataFrame:
+    """Keys of all kinds from a catalogue that has seen the days before CUT first and the others later."""
+    spark, path = t.wide.sparkSession, new_folder(t.wide.sparkSession)
+    rows = t.wide.drop("eventDate")
+    write_wide(rows.where(F.col("timestampMs") < CUT), path)
+    key_catalogue.update_catalogue(spark, path)
+    write_wide(rows.where(F.col("timestampMs") >= CUT), path, "append")
+    found = key_catalogue.catalogued_entries(spark, path, key_catalogue.KINDS)
+    return found.where("key IS NOT NULL")
+
+
+def metric_by_catalogue(t: Stored) -> DataFrame:
+    """A metric of the map path that opens only the files which hold it."""
+    spark, path = t.wide.sparkSession, new_folder(t.wide.sparkSession)
+    write_wide(t.wide.drop("eventDate"), path)
+    key_catalogue.update_catalogue(spark, path)
+    fact = key_catalogue.scan_for_key(spark, path, TENANT, "metricIntGroup1", DIMS_METRIC, START, END)
+    return metrics.map_metric(fact, TENANT, "metricIntGroup1", DIMS_METRIC, "dims", START, END, DIMS_FLOW)
+
+
+def coarser(t: Stored, grains: list[str]) -> DataFrame:
+    """The flat fact of the last grain, each grain made from the one before it."""
+    state = flatten.summed_state(t.wide, t.mapping, t.entries, grains[0])
+    for grain in grains[1:]:
+        state = flatten.coarser_state(dataclasses.replace(state, rows=materialise(state.rows)), grain)
+    return plain_floats(flatten.positional(state))
+
+
+def stored_view(t: Stored) -> DataFrame:
+    """Tenant 1 through its stored view, after a first load that lacks some keys and a second one."""
+    spark, path, name = t.wide.sparkSession, new_folder(t.wide.sparkSession), f"flat_{uuid.uuid4().hex}"
+    for fact in (t.wide.where((F.col("timestampMs") < CUT) & (F.col("flowId") == "view")), t.wide):
+        load = load_days(fact, path)
+        stored_views.publish_views(spark, path, name, load.mapping)
+    view = spark.table(stored_views.view_of(name, TENANT))
+    return plain_floats(view)
+
+
+def plain_floats(df: DataFrame) -> DataFrame:
+    """Float columns as rounded doubles, without the storage column of the day."""
+    names = [c for c in df.columns if c != "eventDate"]
+    kinds = dict(df.dtypes)
+    return df.select(*[F.round(F.col(f"`{c}`").cast("double"), 4).alias(c) if kinds[c] == "float" else F.col(f"`{c}`") for c in names])
+
+
 def stored_mapping(t: Stored, as_json: bool) -> DataFrame:
     spark, path = t.wide.sparkSession, new_folder(t.wide.sparkSession)
     if as_json:
@@ -216,6 +264,11 @@ def on_tables() -> dict[str, Callable[[Stored], DataFrame]]:
         "load_half_days": load_half_days,
         "load_vanished_tenant": load_vanished_tenant,
         "load_one_tenant": load_one_tenant,
+        "discover_in_steps": discover_in_steps,
+        "metric_by_catalogue": metric_by_catalogue,
+        "flatten_hour_from_minutes": lambda t: coarser(t, ["minute", "hour"]),
+        "flatten_day_from_hours": lambda t: coarser(t, ["minute", "hour", "day"]),
+        "stored_view": stored_view,
         "mapping_from_json": lambda t: stored_mapping(t, True),
         "mapping_from_tables": lambda t: stored_mapping(t, False),
         "created_table": lambda t: created_table(t, "v1"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from widefold.model import GROUP_KEYS, STANDARD_COLUMNS, group_columns
@@ -35,25 +37,79 @@ def flatten(
     Runs small jobs when called: the mapping is checked against the tenants, and the slots are
     stored and counted.
     """
+    return positional(summed_state(fact, mapping, entries, grain, conflict))
+
+
+@dataclass(frozen=True)
+class SummedState:
+    """Groups of a grain before their keys get columns, which can be merged into groups of a coarser grain.
+
+    rows: group keys, snapshot (the raw time and standard columns of the earliest row) and a map of sums by
+    slot for each kind. placed: the slots, stored.
+    """
+
+    rows: DataFrame
+    placed: DataFrame
+    mapping: KeyMapping
+    grain: str
+
+    def widths(self) -> dict[str, int]:
+        return {k: n for k, n in (("int", self.mapping.int_columns), ("float", self.mapping.float_columns)) if n}
+
+
+GRAINS = ("millisecond", "minute", "hour", "day")
+
+
+def summed_state(
+    fact: DataFrame,
+    mapping: KeyMapping,
+    entries: DataFrame | None = None,
+    grain: str = "minute",
+    conflict: str = "last",
+) -> SummedState:
+    """The summed groups of raw rows; arguments as for flatten."""
     if entries is None:
         entries = materialise(discover_entries(fact))
     check_tenants(entries, mapping)
     placed = materialise(slots(entries, mapping.keys, conflict))
-    widths = {k: n for k, n in (("int", mapping.int_columns), ("float", mapping.float_columns)) if n}
+    widths = SummedState(fact, placed, mapping, grain).widths()
     parts = [at_grain(fact, grain, snapshot_struct().alias("snapshot"))]
     parts += [slot_sums(fact, placed, kind, grain) for kind in widths]
-    flat = union_all(parts).groupBy(*GROUP_KEYS).agg(
-        F.min("snapshot").alias("snapshot"), *[_slot_map(kind) for kind in widths]
-    )
-    flat = flat.select(
+    return SummedState(_regrouped(parts, list(widths)), placed, mapping, grain)
+
+
+def coarser_state(state: SummedState, grain: str) -> SummedState:
+    """The groups of a coarser grain, from those of a finer one instead of the raw rows.
+
+    A group's earliest raw row is the earliest of its parts' earliest rows, and sums by slot add up. Which map
+    column of a key counts is only then chosen, as it may be another one in the whole group than in its parts.
+    """
+    if GRAINS.index(grain) < GRAINS.index(state.grain):
+        raise ValueError(f"{grain} is finer than {state.grain}")
+    kinds = list(state.widths())
+    parts = [at_grain(state.rows, grain, "snapshot")]
+    for kind in kinds:
+        sums = at_grain(state.rows, grain, F.explode(f"{kind}_slots").alias("slot", "value"))
+        parts.append(sums.groupBy(*GROUP_KEYS, "slot").agg(F.sum("value").alias(f"{kind}_sum")))
+    return SummedState(_regrouped(parts, kinds), state.placed, state.mapping, grain)
+
+
+def _regrouped(parts: list[DataFrame], kinds: list[str]) -> DataFrame:
+    return union_all(parts).groupBy(*GROUP_KEYS).agg(F.min("snapshot").alias("snapshot"), *[_slot_map(k) for k in kinds])
+
+
+def positional(state: SummedState) -> DataFrame:
+    """The flat fact of summed groups."""
+    widths = state.widths()
+    flat = state.rows.select(
         *GROUP_KEYS, *[F.col(f"snapshot.{c}").alias(c) for c in SNAPSHOT_COLUMNS], *[f"{k}_slots" for k in widths]
     )
-    ranks = placed.groupBy("kind", "idx").agg(F.max(F.col("slot") % RANKS_PER_COLUMN).alias("last_rank"))
+    ranks = state.placed.groupBy("kind", "idx").agg(F.max(F.col("slot") % RANKS_PER_COLUMN).alias("last_rank"))
     last_rank = {(r["kind"], r["idx"]): r["last_rank"] for r in ranks.where("last_rank > 0").collect()}
-    positional = [
+    columns = [
         _slot_value(kind, idx, last_rank.get((kind, idx), 0)) for kind, n in widths.items() for idx in range(1, n + 1)
     ]
-    return flat.selectExpr(*STANDARD_COLUMNS, *positional)
+    return flat.selectExpr(*STANDARD_COLUMNS, *columns)
 
 
 def check_tenants(entries: DataFrame, mapping: KeyMapping) -> None:

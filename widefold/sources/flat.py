@@ -120,13 +120,22 @@ def with_zeros(schema: T.StructType) -> T.StructType:
 
 
 def create_flat_table(
-    spark: SparkSession, name: str, schema: T.StructType, location: str | None = None, drop: bool = False
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    location: str | None = None,
+    drop: bool = False,
+    more_parts: list[str] | None = None,
 ) -> None:
-    """Create an empty flat table whose columns fall back to 0 or '' when a writer leaves them out."""
+    """Create an empty flat table whose columns fall back to 0 or '' when a writer leaves them out.
+
+    more_parts: names of further folders, by string, between day and tenant.
+    """
     if drop:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    columns = ", ".join(_column_ddl(f) for f in table_schema(schema).fields)
-    parts = ", ".join(PARTITION_COLUMNS)
+    folders = [T.StructField(c, T.StringType()) for c in more_parts or []]
+    columns = ", ".join(_column_ddl(f) for f in [*table_schema(schema).fields, *folders])
+    parts = ", ".join([PARTITION_COLUMNS[0], *(more_parts or []), *PARTITION_COLUMNS[1:]])
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({parts}){place}")
 

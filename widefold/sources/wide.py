@@ -10,10 +10,10 @@ from widefold.functions.times import in_range
 from widefold.model import EXCLUDED_COLUMNS, wide_schema
 
 
-def write_wide(fact: DataFrame, path: str) -> None:
+def write_wide(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store a raw fact as Parquet, one folder per day, so that a scan of a range opens its days only."""
     rows = fact.withColumn("eventDate", F.to_date("timestampMs"))
-    rows.write.mode("overwrite").partitionBy("eventDate").parquet(path)
+    rows.write.mode(mode).partitionBy("eventDate").parquet(path)
 
 
 def read_wide(spark: SparkSession, path: str, by_date: bool = False) -> DataFrame:
