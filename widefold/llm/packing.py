@@ -1,9 +1,9 @@
 """Packing of token sequences by patterns that fit the length histogram.
 
-Lengths are counted over all pieces. Patterns of one to three lengths that fill a sequence exactly are
-enumerated; non-negative least squares fits how often each is to be used, so that together they use up
-the histogram. The counts are rounded down to what is there, and what is left over is packed best fit,
-longest first, on its own histogram. Only the histogram, one number per length, is gathered; which piece
+Lengths are counted over all pieces. Patterns of up to three lengths, the shorter ones with repeats, that fill
+a sequence or nearly so are enumerated; non-negative least squares fits how often each is to be used, so that
+together they use up the histogram. The repeats are rounded by largest remainder to what is there, and what
+is left over is packed best fit, longest first, on its own histogram. Only the histogram, one number per length, is gathered; which piece
 goes where is worked out by each task from a piece's length and its number among those of that length.
 
 Null text is empty: one piece of one token. Repeated rows are packed like any others. An empty table
@@ -29,6 +29,11 @@ from widefold.plans.small_side import materialise
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
 ROUNDS = 100
+#: Patterns may leave this part of a sequence empty, and the fit is repeated so often at most.
+SPARE_PART = 512
+FITS = 4
+#: Parts in which patterned sequences are given back.
+GIVEN_BACK = 20
 #: Pieces of one length that are numbered by one task.
 NUMBERED_TOGETHER = 4_000
 
@@ -42,38 +47,61 @@ def vocabulary_path() -> str:
 # ---- the plan, from the histogram ----------------------------------------------------------------
 
 
-def exact_patterns(present: np.ndarray, capacity: int) -> np.ndarray:
-    """Rows of three lengths in falling order, 0 for none, whose sum is capacity and that all occur.
+@dataclass(frozen=True)
+class Patterns:
+    """What may fill a sequence: each row has up to three lengths, and how often each is there; 0 for none."""
 
-    present[n] tells whether length n occurs; the largest length is at least the smaller ones.
-    """
+    lengths: np.ndarray
+    times: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+
+def enumerate_patterns(present: np.ndarray, capacity: int, spare: int = 0) -> Patterns:
+    """Patterns of few lengths that occur: three that fill a sequence exactly, or two with repeats that leave at
+    most `spare` places. present[n] tells whether length n occurs."""
     lengths = np.flatnonzero(present)
     lengths = lengths[lengths > 0]
     with_none = np.concatenate([[0], lengths])
-    out = []
+    rows, times = [], []
     for a in lengths:
         b = with_none[with_none <= a]
         c = capacity - a - b
         fits = (c >= 0) & (c <= b)
         b, c = b[fits], c[fits]
         fits = (c == 0) | present[np.minimum(c, capacity)]
-        out.append(np.stack([np.full(fits.sum(), a), b[fits], c[fits]], axis=1))
-    return np.concatenate(out) if out else np.zeros((0, 3), int)
-
-
-def fit_repeats(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+        rows.append(np.stack([np.full(fits.sum(), a), b[fits], c[fits]], axis=1))
+        times.append((rows[-1] > 0).astype(int))
+        smaller = lengths[lengths < a]
+        for i in range(1, capacity // a + 1):
+            left = capacity - i * a
+            j = left // smaller if len(smaller) else np.zeros(0, int)
+            close = (left - j * smaller <= spare) & (j > 0) & ((i > 1) | (j > 1))
+            n = int(close.sum())
+            rows.append(np.stack([np.full(n, a), smaller[close], np.zeros(n, int)], axis=1))
+            times.append(np.stack([np.full(n, i), j[close], np.zeros(n, int)], axis=1))
+            if left <= spare and i > 1:
+                rows.append(np.array([[a, 0, 0]]))
+                times.append(np.array([[i, 0, 0]]))
+    if not rows:
+        return Patterns(np.zeros((0, 3), int), np.zeros((0, 3), int))
+    return Patterns(np.concatenate(rows), np.concatenate(times))
+
+
+def fit_repeats(patterns: Patterns, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """How often to use each pattern: the non-negative least-squares solution of pattern use = counts,
     by accelerated projected gradient steps. Each column has three entries at most, so a step costs
     as much as there are patterns."""
     size = len(counts)
-    used = patterns > 0
 
     def apply(x: np.ndarray) -> np.ndarray:
-        return np.bincount(patterns[used], np.broadcast_to(x[:, None], patterns.shape)[used], size)
+        out = np.bincount(patterns.lengths.ravel(), (patterns.times * x[:, None]).ravel(), size)
+        out[0] = 0
+        return out
 
     def back(r: np.ndarray) -> np.ndarray:
-        padded = np.where(np.arange(size) > 0, r, 0.0)
-        return padded[patterns].sum(axis=1)
+        return (r[patterns.lengths] * patterns.times).sum(axis=1)
 
     probe = np.ones(len(patterns))
     largest = 1.0
@@ -91,6 +119,41 @@ def fit_repeats(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS)
     return x
 
 
+def rounded_use(patterns: Patterns, repeats: np.ndarray, counts: np.ndarray) -> tuple[list, np.ndarray]:
+    """(lengths, number of sequences) of the patterns used, and the counts that are left.
+
+    Repeats are rounded by largest remainder among the patterns of one longest length, long ones first: whole
+    parts, then one more of each in the order of what was cut off, while there are pieces. Rounding each on
+    its own would lose nearly all, since the fit spreads over more patterns than there are sequences.
+    """
+    left = counts.astype(np.int64).copy()
+    used: dict[int, int] = defaultdict(int)
+    whole = np.floor(repeats).astype(np.int64)
+    longest = patterns.lengths[:, 0]
+    by_length = np.lexsort([-(repeats - whole), -longest])
+    bounds = np.flatnonzero(np.diff(longest[by_length], prepend=-1, append=-1))
+    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+        group = by_length[begin:end]
+        length = int(longest[group[0]])
+        for i, n in [*((i, int(whole[i])) for i in group if whole[i]), *((i, 1) for i in group)]:
+            if not left[length]:
+                break
+            need: dict[int, int] = defaultdict(int)
+            for part, t in zip(patterns.lengths[i].tolist(), patterns.times[i].tolist(), strict=True):
+                if t:
+                    need[part] += t
+            n = min([n, *[int(left[part]) // t for part, t in need.items()]])
+            if n > 0:
+                for part, t in need.items():
+                    left[part] -= n * t
+                used[i] += n
+    plan = []
+    for i, n in used.items():
+        lengths = [part for part, t in zip(patterns.lengths[i].tolist(), patterns.times[i].tolist(), strict=True) for _ in range(t)]
+        plan.append((tuple(lengths), n))
+    return plan, left
+
+
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Best fit, longest first, on a histogram: (lengths of a sequence, number of such sequences)."""
     bins: dict[int, dict[tuple[int, ...], int]] = defaultdict(dict)
@@ -127,30 +190,59 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
     return [(lengths, n) for by_lengths in bins.values() for lengths, n in by_lengths.items()]
 
 
+def fitted_part(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list, np.ndarray]:
+    """The sequences that patterns fill, and the counts of the pieces that are left.
+
+    The fit is made again on what rounding has left, until it uses little more. Only exact patterns take
+    part in the first one.
+    """
+    left, plan = counts.astype(np.int64).copy(), []
+    for fit in range(FITS):
+        patterns = enumerate_patterns(left > 0, capacity, capacity // SPARE_PART if fit else 0)
+        if not len(patterns):
+            break
+        more, left = rounded_use(patterns, fit_repeats(patterns, left.astype(float)), left)
+        plan += more
+        if sum(n for _, n in more) <= sum(n for _, n in plan) // 50:
+            break
+    return plan, left
+
+
+def given_back(plan: list, steps: int, step: int) -> list:
+    """The plan without step of every `steps` sequences of short pieces, taken evenly over the plan."""
+    out, seen = [], 0
+    for lengths, n in plan:
+        if len(lengths) == 1:
+            out.append((lengths, n))
+            continue
+        # Sequences seen to seen + n - 1 of the plan; those whose number modulo steps is below step go.
+        gone = sum((seen + n - r + steps - 1) // steps - (seen - r + steps - 1) // steps for r in range(step))
+        seen += n
+        if n > gone:
+            out.append((lengths, n - gone))
+    return out
+
+
 def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, number of sequences) that use up counts, counts[n] being the number of pieces of length n.
 
-    Plain best fit is kept where it needs fewer sequences than the fitted patterns.
+    Pieces that no pattern takes may lack short ones to be packed with. So a twentieth of the patterned sequences
+    after the other is given back, until no more sequences are needed than by best fit of all pieces;
+    where none would be left, that is plain best fit.
     """
-    left = counts.astype(np.int64).copy()
-    plan = []
-    patterns = exact_patterns(left > 0, capacity)
-    if len(patterns):
-        repeats = fit_repeats(patterns, left.astype(float))
-        for i in np.argsort(-repeats, kind="stable"):
-            n = int(repeats[i])
-            if n < 1:
-                break
-            lengths = tuple(int(v) for v in patterns[i] if v)
-            for length in set(lengths):
-                n = min(n, int(left[length]) // lengths.count(length))
-            if n:
-                for length in lengths:
-                    left[length] -= n
-                plan.append((lengths, n))
-    plan += best_fit(left, capacity)
+    plan, _ = fitted_part(counts, capacity)
     plain = best_fit(counts, capacity)
-    return plan if sum(n for _, n in plan) <= sum(n for _, n in plain) else plain
+    fewest = sum(n for _, n in plain)
+    for step in range(GIVEN_BACK):
+        kept = given_back(plan, GIVEN_BACK, step)
+        left = counts.astype(np.int64).copy()
+        for lengths, n in kept:
+            for length in lengths:
+                left[length] -= n
+        whole = kept + best_fit(left, capacity)
+        if kept and sum(n for _, n in whole) <= fewest:
+            return whole
+    return plain
 
 
 @dataclass(frozen=True)

@@ -29,6 +29,7 @@ class PieceIds(dict):
         super().__init__()
         self.tokenizer = tokenizer
         self.older: dict[str, bytes] = {}
+        self.added = [str(t) for t in tokenizer.get_added_tokens_decoder().values()]
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         self.merger = tiktoken.Encoding(
             "pieces", pat_str=r"(?s).+", mergeable_ranks=byte_ranks(vocabulary), special_tokens={}
@@ -76,9 +77,7 @@ def patterns() -> tuple[re.Pattern, re.Pattern]:
 
 @cache
 def loaded(path: str) -> PieceIds:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return PieceIds(tokenizer)
+    return PieceIds(Tokenizer.from_file(path))
 
 
 def windows(text: str):
@@ -97,9 +96,10 @@ def token_bytes(text: str, path: str) -> bytes:
     """All ids of a text, four bytes each.
 
     The vocabulary merges only inside pieces, and pieces repeat, so each is merged once and looked up
-    afterwards. A library that only merges does that in a third of the tokenizer's time. Texts with characters outside SETTLED go to the tokenizer as a whole.
+    afterwards. A library that only merges does that in a third of the tokenizer's time. Texts with characters outside SETTLED, and those that hold the
+    string of an added token, go to the tokenizer as a whole.
     """
     known, (pieces, settled) = loaded(path), patterns()
-    if not settled.fullmatch(text):
+    if not settled.fullmatch(text) or any(t in text for t in known.added):
         return ids_of(known.tokenizer, text)
     return b"".join(b"".join(map(known.__getitem__, pieces.findall(part))) for part in windows(text))
