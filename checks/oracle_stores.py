@@ -5,6 +5,7 @@ from __future__ import annotations
 from widefold.model import STANDARD_COLUMNS, flat_schema, group_columns
 
 CUT = "2024-01-16 00:00:00"
+CHANGED_CLIENT = "7"
 HALF_DAYS = ["2024-01-01 00:00:00", "2024-01-10 12:00:00", "2024-01-20 12:00:00", "2024-01-31 00:00:00"]
 
 
@@ -36,6 +37,13 @@ UNION ALL SELECT customer_id, 'string', 1, key FROM tags"""
     texts["flatten_hour_from_minutes"] = f"WITH {oracle.flat('hour')}\nSELECT * FROM flat"
     texts["flatten_day_from_hours"] = f"WITH {oracle.flat('day')}\nSELECT * FROM flat"
     texts["stored_view"] = tenant_view()
+    texts["find_difference"] = f"""WITH {oracle.BASE}
+SELECT date_trunc('minute', ts) AS "timestampMs", client AS "clientId", session AS "sessionId", e.customer_id AS "customerId",
+  'int' || max(idx) AS "column", CAST(count(*) AS VARCHAR) AS left_value,
+  CAST(count(*) + count_if(event_type = 'purchase') AS VARCHAR) AS right_value
+FROM entries e JOIN mapping m ON m.customer_id = e.customer_id AND m.kind = 'int' AND m.key = 'event_count'
+WHERE e.key = 'event_count' AND client = '{CHANGED_CLIENT}'
+GROUP BY 1, 2, 3, 4 HAVING count_if(event_type = 'purchase') > 0"""
     for name in ("mapping_from_json", "mapping_from_tables"):
         texts[name] = f'WITH {base}\nSELECT customer_id, kind, key, idx, kind || idx AS "column" FROM mapping'
     flat_rows = f"""WITH {raw},

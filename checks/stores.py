@@ -9,12 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.oracle import DIMS_FLOW, DIMS_METRIC, END, START, TENANT
-from checks.oracle_stores import CUT, HALF_DAYS
+from checks.oracle_stores import CHANGED_CLIENT, CUT, HALF_DAYS
 from widefold.fixtures import load_log, timing_samples
 from widefold.functions.times import day_range
 from widefold.model import GROUP_KEYS, column_class, flat_schema, group_columns
 from widefold.operators import flatten, logs, metrics, preagg, timing
-from widefold.plans import key_catalogue, stored_views
+from widefold.plans import checksums, key_catalogue, stored_views
 from widefold.plans.day_load import Load, load_days
 from widefold.plans.small_side import materialise, shared_folder
 from widefold.plans.stored import Stored
@@ -133,6 +133,16 @@ def stored_view(t: Stored) -> DataFrame:
     return plain_floats(view)
 
 
+def find_difference(t: Stored) -> DataFrame:
+    """Cells in which a table differs from one whose fact has other counts of one client."""
+    spark, paths = t.wide.sparkSession, [new_folder(t.wide.sparkSession) for _ in range(2)]
+    twice = F.transform_values("metricIntGroup15", lambda k, v: v * 2)
+    is_changed = (F.col("clientId") == CHANGED_CLIENT) & (F.col("flowId") == "purchase")
+    changed = t.wide.withColumn("metricIntGroup15", F.when(is_changed, twice).otherwise(F.col("metricIntGroup15")))
+    left, right = (load_days(fact, path).flat for fact, path in zip((t.wide, changed), paths, strict=True))
+    return checksums.compare_tables(spark, *paths, left, right)
+
+
 def plain_floats(df: DataFrame) -> DataFrame:
     """Float columns as rounded doubles, without the storage column of the day."""
     names = [c for c in df.columns if c != "eventDate"]
@@ -209,7 +219,8 @@ def log_lines(t: Stored) -> DataFrame:
 
 
 def log_events(t: Stored) -> DataFrame:
-    events = logs.after_marker(logs.parse_events(log_lines(t)))
+    lines = log_lines(t)
+    events = logs.after_marker(logs.parse_events(lines), lines.select("log_id").distinct())
     return events.groupBy("event").agg(F.count("*").alias("events"))
 
 
@@ -269,6 +280,7 @@ def on_tables() -> dict[str, Callable[[Stored], DataFrame]]:
         "flatten_hour_from_minutes": lambda t: coarser(t, ["minute", "hour"]),
         "flatten_day_from_hours": lambda t: coarser(t, ["minute", "hour", "day"]),
         "stored_view": stored_view,
+        "find_difference": find_difference,
         "mapping_from_json": lambda t: stored_mapping(t, True),
         "mapping_from_tables": lambda t: stored_mapping(t, False),
         "created_table": lambda t: created_table(t, "v1"),

@@ -262,3 +262,11 @@ def test_log_without_marker_fails(spark):
     )
     with pytest.raises(Exception, match="log without"):
         logs.chunks(lines).collect()
+
+
+def test_log_with_neither_marker_nor_event_fails(spark):
+    rows = [("a", 0, 0, f"2024-03-01 00:00:00,000 - {logs.PHASE_MARKER}"), ("b", 0, 0, "nothing of interest")]
+    lines = spark.createDataFrame(rows, "log_id string, block int, pos bigint, value string")
+    with pytest.raises(Exception, match="log without .*: b"):
+        logs.chunks(lines)
+    assert logs.chunks(lines.where("log_id = 'a'")).count() == 0

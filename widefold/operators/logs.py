@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from widefold.functions.labels import duration_text, period_label
 from widefold.functions.times import seconds_between
-from widefold.plans.small_side import materialise
+from widefold.plans.small_side import join_lookup, materialise
 
 # The texts a load log is made of. A line takes the first event that matches.
 PHASE_MARKER = "PHASE 3: DATA TRANSFORMATION"
@@ -64,22 +64,22 @@ def parse_events(lines: DataFrame) -> DataFrame:
     )
 
 
-def after_marker(events: DataFrame) -> DataFrame:
-    """Events from the first phase marker of each log on; a log without one is an error."""
+def after_marker(events: DataFrame, logs: DataFrame | None = None) -> DataFrame:
+    """Events from the first phase marker of each log on; a log without one is an error.
+
+    logs: log_id of all logs; without it a log that holds neither marker nor event is not noticed.
+    """
     blocks = events.groupBy("log_id", "block").agg(F.min(F.when(F.col("is_marker"), F.col("pos"))).alias("marker_pos"))
-    first = F.min(F.when(F.col("marker_pos").isNotNull(), F.struct("block", "marker_pos"))).over(
-        Window.partitionBy("log_id")
-    )
-    begun = blocks.select("log_id", "block", first.alias("marker"))
-    checked = begun.withColumn(
-        "marker",
-        F.when(F.col("marker").isNull(), F.raise_error(F.lit(f"log without '{PHASE_MARKER}'"))).otherwise(
-            F.col("marker")
-        ),
-    )
+    found = F.min(F.when(F.col("marker_pos").isNotNull(), F.struct("block", "marker_pos"))).alias("marker")
+    first = blocks.groupBy("log_id").agg(found)
+    if logs is not None:
+        first = logs.join(first, "log_id", "left")
+    error = F.raise_error(F.concat(F.lit(f"log without '{PHASE_MARKER}': "), F.col("log_id").cast("string")))
+    # Stored, so that the logs are looked at even where no event of theirs asks for the marker.
+    checked = materialise(first.withColumn("marker", F.when(F.col("marker").isNull(), error).otherwise(F.col("marker"))))
     in_or_after = F.struct("block", F.col("pos").alias("marker_pos")) >= F.col("marker")
     return (
-        events.join(checked, ["log_id", "block"])
+        join_lookup(events, checked, ["log_id"])
         .where(in_or_after & F.col("event").isNotNull())
         .drop("marker", "is_marker")
     )
@@ -131,7 +131,7 @@ def chunks(lines: DataFrame) -> DataFrame:
     The parsed events are materialised when this is called: they are read several times below, and the lines need to
     be matched against the patterns only once.
     """
-    events = with_chunks(after_marker(materialise(parse_events(lines))))
+    events = with_chunks(after_marker(materialise(parse_events(lines)), lines.select("log_id").distinct()))
     order = F.struct("block", "pos")
 
     def last_of(column: str, event: str) -> Column:

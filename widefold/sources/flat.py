@@ -102,8 +102,15 @@ def read_flat(spark: SparkSession, path: str, schema: T.StructType, record: Reco
     record = record or read_record(spark, path)
     if not record.live:
         return spark.createDataFrame([], stored).select(*names, "eventDate")
+    return read_versions(spark, path, schema, record).drop(VERSION_COLUMN)
+
+
+def read_versions(spark: SparkSession, path: str, schema: T.StructType, record: Record) -> DataFrame:
+    """The rows of the versions that a record names, with eventDate and version."""
+    stored = table_schema(with_zeros(schema))
     versioned = T.StructType([*stored.fields, T.StructField(VERSION_COLUMN, T.StringType())])
-    return spark.read.schema(versioned).parquet(path).where(is_live(record.live)).select(*names, "eventDate")
+    live = spark.read.schema(versioned).parquet(path).where(is_live(record.live))
+    return live.select(*[f.name for f in schema.fields], "eventDate", VERSION_COLUMN)
 
 
 def with_zeros(schema: T.StructType) -> T.StructType:
