@@ -596,6 +596,65 @@ def test_licences(spark, clashing):
     assert licenses.scan(clashing).count() == 0
 
 
+def licences_of(text):
+    words = licenses.words_of(text)
+    found = [f for k, v in licenses.TEMPLATES.items() for f in licenses.find(words, licenses.Template.of(k, v))]
+    return [f.template for f in licenses.best_covered(found)]
+
+
+def test_each_template_is_told_from_all_others():
+    assert len({k.split(" ")[0] for k in licenses.TEMPLATES}) >= 20
+    for name, text in licenses.TEMPLATES.items():
+        assert licences_of(f"Some words stand ahead of it: {text} And some words are behind it.") == [name]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("This is licensed under the GNU General Public License, version 2.", ["GPL-2.0 notice"]),
+        ("It is licensed under the GNU Lesser General Public License, version 3", ["LGPL-3.0 notice"]),
+        ("It is licensed under the GNU Affero General Public License, version 3", ["AGPL-3.0 notice"]),
+        ("licensed under the GNU General Public License", []),
+        ("Released under the BSD License", ["BSD notice"]),
+        ("work done under the MIT License last year", []),
+        ("Released to us under the MIT License", ["MIT notice"]),
+        ("Licensed under CC BY-SA 4.0", ["CC-BY-SA-4.0 notice"]),
+        ("Licensed under CC BY 3.0", ["CC-BY-3.0 notice"]),
+        ("Licensed under CC BY-NC-SA 4.0 and CC BY-NC-ND 4.0", ["CC-BY-NC-SA-4.0 notice"]),
+        ("Licensed under the Apache License, Version 1.1", []),
+        ("licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License", ["CC-BY-SA-3.0 long notice"]),
+    ],
+)
+def test_look_alikes(text, expected):
+    assert licences_of(text) == expected
+
+
+def test_gnu_headers_and_bsd_texts_with_changes():
+    """Every ninth word changed, but for those that tell the licences apart."""
+    for name in ("GPL-2.0 header", "LGPL-2.1 header", "AGPL-3.0 header", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib"):
+        template = licenses.Template.of(name, licenses.TEMPLATES[name])
+        words = [w if i in template.telling or i % 9 != 4 else "changed" for i, w in enumerate(template.words)]
+        assert licences_of(" ".join(words)) == [name]
+
+
+def test_alignment_against_brute_force():
+    """Aligned places rise in both and hold equal words; without repeated words as many as can be are aligned."""
+    chance = random.Random(15)
+    for n in range(60):
+        letters = [f"w{i}" for i in range(9 if n % 2 else 40)]
+        a, b = chance.choices(letters, k=8) if n % 2 else chance.sample(letters, 12), chance.sample(letters, 9)
+        matched, _ = licenses.align(a, b)
+        assert all(a[i] == b[j] for i, j in matched)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(matched, matched[1:], strict=False))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert len(matched) <= table[-1][-1]
+        if len(set(a)) == len(a):
+            assert len(matched) == table[-1][-1]
+
+
 # ---- SimHash -------------------------------------------------------------------------------------
 
 
