@@ -22,6 +22,10 @@ LINES_PER_CHUNK = 10
 LINES_PER_BLOCK = 64
 CHUNK_MINUTES = 60
 
+# Events that a task turns into raw rows, as long as that takes no more tasks than the most.
+EVENTS_PER_TASK = 20_000
+MOST_TASKS = 200
+
 
 def _pick(values: list[str], number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
@@ -40,12 +44,22 @@ def _complete(rows: DataFrame, given: dict[str, Column]) -> DataFrame:
     return rows.select(*columns)
 
 
+def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, dealt out by time while they are narrow: a file of one row group is read by one task.
+
+    Up to 200 parts a shuffle writes without holding rows in memory (spark.shuffle.sort.bypassMergeThreshold).
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    parts = min(MOST_TASKS, events.count() // EVENTS_PER_TASK + 1)
+    return events.repartitionByRange(parts, "ts", "event_id")
+
+
 def wide_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide-map fact of the events table, one raw row per event.
 
     'retries' sits in two map columns, and one key of map column 7 is blank.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = dealt_events(spark, sf_dir)
     user, kind = F.col("user_id"), F.col("event_type")
     tenant = (user % 3).cast("int")
     ts = start_of("millisecond", "ts")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -10,10 +12,34 @@ from widefold.functions.times import in_range
 from widefold.model import EXCLUDED_COLUMNS, wide_schema
 
 
+#: Days that a task of write_wide keeps a file open for. Rows of further days are sorted first.
+OPEN_DAYS = 100
+#: Rows of a stored file. A scan packs at most spark.sql.files.maxPartitionBytes / openCostInBytes files (32)
+#: into a task, so this bounds a task's rows however well they compress.
+ROWS_PER_FILE = 25_000
+
+
 def write_wide(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store a raw fact as Parquet, one folder per day, so that a scan of a range opens its days only."""
+    """Store a raw fact as Parquet, one folder per day, so that a scan of a range opens its days only.
+
+    A row of 45 maps takes some kilobytes in memory, though a few dozen bytes in a file. So a task does not
+    sort its rows by day but writes the days side by side, and files hold a bounded number of rows.
+    """
     rows = fact.withColumn("eventDate", F.to_date("timestampMs"))
-    rows.write.mode(mode).partitionBy("eventDate").parquet(path)
+    with open_files(fact.sparkSession, OPEN_DAYS):
+        rows.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("eventDate").parquet(path)
+
+
+@contextmanager
+def open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """In the block, a task that writes into folders keeps up to most files open instead of sorting its rows."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def read_wide(spark: SparkSession, path: str, by_date: bool = False) -> DataFrame:
