@@ -491,6 +491,94 @@ def test_quotations_against_sql(spark, tmp_path):
     assert sorted(out, key=str) == sorted(expected, key=str)
 
 
+def replies(spark, rows):
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn) for r in quotations.linked(messages).collect()}
+
+
+def test_whole_passages_come_before_lines(spark):
+    got = replies(spark, [
+        (1, 0, "a", "x\ny"), (1, 1, "b", "x\n\ny\nz"), (1, 2, "a", "> x\n> y\n>\n> z\nagreed"), (1, 3, "b", "> y\n> z\nclipped"),
+        (2, 0, "a", "x"), (3, 0, "a", "y\nz"), (4, 0, "a", "> Y\n> z\nfrom elsewhere"), (5, 0, "a", "> q\nlater"), (5, 1, "a", "q"),
+        (6, 0, "a", "q"),
+    ])
+    assert got[1, 2] == (1, 1)
+    assert got[1, 3] == (1, 1)
+    assert got[4, 0] == (3, 0)
+    # The first message over all that said it is a later one of the same conversation.
+    assert got[5, 0] == (6, 0)
+
+
+def plain_replies(rows):
+    """The rules, message by message."""
+    own, quoted = {}, {}
+    for conv, turn, _, text in rows:
+        runs = []
+        for line in text.split("\n"):
+            marks = re.match(r"[> ]*", line)[0]
+            if said := line[len(marks):].strip().lower():
+                level = marks.count(">")
+                if not runs or runs[-1][0] != level:
+                    runs.append((level, []))
+                runs[-1][1].append(said)
+        own[conv, turn] = [tuple(r) for level, r in runs if level == 0]
+        quoted[conv, turn] = [(level, tuple(r)) for level, r in runs if level]
+    by_run, by_line = {}, {}
+    for at in sorted(own):
+        for run in own[at]:
+            by_run.setdefault(run, []).append(at)
+            for line in set(run):
+                if at not in by_line.setdefault(line, []):
+                    by_line[line].append(at)
+
+    out = {}
+    for at, passages in quoted.items():
+        votes = {}
+
+        def vote(level, source, first):
+            seen = votes.setdefault((-level, source), [0, 0])
+            seen[0] += 1
+            seen[1] += first
+
+        def split(sayers):
+            return [s for s in sayers if s[0] == at[0] and s < at], [s for s in sayers if s[0] != at[0]]
+
+        for level, run in passages:
+            near, far = split(by_run.get(run, []))
+            for line in run:
+                line_near, line_far = split(by_line.get(line, []))
+                if near:
+                    vote(level, near[0], 1)
+                elif line_near:
+                    for i, source in enumerate(line_near):
+                        vote(level, source, i == 0)
+                elif far or line_far:
+                    vote(level, (far or line_far)[0], 1)
+        before = max((a for a in own if a[0] == at[0] and a < at), default=(None, None))
+        out[at] = max(((*k[:1], *n, k[1][1], k[1][0]) for k, n in votes.items()), default=None)
+        out[at] = (out[at][4], out[at][3]) if out[at] else before
+    return out
+
+
+def test_quotations_against_brute_force(spark):
+    pick = random.Random(5)
+    words = [f"line {i}" for i in range(25)] + ["yes."] * 10
+    rows, said = [], []
+    for conv in range(60):
+        for turn in range(12):
+            lines = []
+            for _ in range(pick.randint(0, 2)):
+                whole = pick.choice(said if said and pick.random() < 0.3 else [s for c, s in said if c == conv] and said[-turn or None:] or [(0, ["none"])])[1]
+                part = whole if pick.random() < 0.5 else whole[pick.randint(0, len(whole) - 1):]
+                lines += [">" * pick.choice([1, 1, 1, 2]) + " " + x.upper() for x in part]
+            mine = [pick.choice(words) for _ in range(pick.randint(1, 4))]
+            said.append((conv, mine))
+            rows.append((conv, turn, "u", "\n".join([*lines, *mine])))
+    expected = plain_replies(rows)
+    assert replies(spark, rows) == expected
+    assert sum(e[0] is not None and e != (c, t - 1) for (c, t), e in expected.items()) > 200
+
+
 def test_turns_run_on_over_groups(spark, monkeypatch):
     monkeypatch.setattr(quotations, "TURNS_PER_GROUP", 4)
     rows = spark.createDataFrame([(1, t) for t in (0, 1, 2, 9, 10, 30)] + [(2, 7)], "conv_id long, turn long")
