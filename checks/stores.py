@@ -176,9 +176,9 @@ def created_table(t: Stored, variant: str) -> DataFrame:
 
 def written_twice(t: Stored, mode: str) -> DataFrame:
     """The flat table written twice: rows and the sum of its first column."""
-    path = new_folder(t.wide.sparkSession)
+    path, rows = new_folder(t.wide.sparkSession), t.flat.count()
     for _ in range(2):
-        flat_source.write_flat(t.flat.drop("eventDate"), path, mode)
+        flat_source.write_flat(t.flat.drop("eventDate"), path, mode, at_most=rows)
     schema = flat_schema(t.mapping.int_columns, t.mapping.float_columns)
     return flat_source.read_flat(t.wide.sparkSession, path, schema).groupBy(F.col("customerId").alias("customer_id")).agg(
         F.count("*").alias("rows"), F.sum("int1").alias("int1")
@@ -187,7 +187,7 @@ def written_twice(t: Stored, mode: str) -> DataFrame:
 
 def file_overlaps(t: Stored, sort_key: str) -> DataFrame:
     spark, path = t.wide.sparkSession, new_folder(t.wide.sparkSession)
-    flat_source.write_flat(t.flat.drop("eventDate"), path, "replace", sort_key)
+    flat_source.write_flat(t.flat.drop("eventDate"), path, "replace", sort_key, t.flat.count())
     return flat_source.file_overlaps(spark.read.parquet(path), sort_key)
 
 

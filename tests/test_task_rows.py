@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at
 from widefold import fixtures
+from widefold.plans.day_load import load_days
+from widefold.sources import flat as flat_source
 from widefold.sources import wide as wide_source
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
@@ -54,3 +56,14 @@ def test_one_row_group_of_events_is_dealt_out(spark, tmp_path, monkeypatch):
     fact = fixtures.wide_fact(spark, str(tmp_path))
     sizes = [n for n in fact.select(F.spark_partition_id().alias("p")).groupBy("p").count().toPandas()["count"]]
     assert sum(sizes) == 1000 and len(sizes) > 5 and max(sizes) < 300
+
+
+def test_a_task_of_a_load_sorts_a_bounded_range(spark, wide, tmp_path, monkeypatch):
+    monkeypatch.setattr(flat_source, "ROWS_PER_RANGE", 20)
+    fact = rows_of_days(wide, 400)
+    load = load_days(fact, str(tmp_path / "flat"))
+    rows = load.flat.groupBy(F.col("_metadata.file_path").alias("f")).count().toPandas()["count"]
+    assert rows.sum() == 400 and rows.max() <= 40
+    again = load_days(fact.where("customerId = 1"), str(tmp_path / "flat"))
+    assert again.flat.count() == 400
+    assert again.flat.select("timestampMs", "clientId").exceptAll(fact.select("timestampMs", "clientId")).count() == 0

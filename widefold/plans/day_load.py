@@ -59,7 +59,7 @@ def load_days(
 
     The raw fact is scanned four times, three where it has no float key: for its keys, for its
     standard columns, and for its maps of either kind. The scans read different columns, but for
-    the group keys. Without a range its days and tenants are scanned too.
+    the group keys. Without a range its days and tenants are scanned too. Its rows are counted for the write.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}")
@@ -77,7 +77,9 @@ def load_days(
     if mode == "partitions" and known.live:
         kept = _kept(rows, read_flat(spark, path, schema, known), span, tenants, known)
     version = new_version(known)
-    write_version(flat if kept is None else flat.unionByName(kept.drop("eventDate")), path, version, sort_key)
+    # Groups are no more than raw rows, which a count tells from the range and tenants alone.
+    at_most = rows.count() + (0 if kept is None else kept.count())
+    write_version(flat if kept is None else flat.unionByName(kept.drop("eventDate")), path, version, sort_key, at_most)
     written = days_of_version(spark, path, version)
     record = add_to_record(
         spark, path, known, _live(known, version, written, span, mode, tenants), version, mode, grain, *(span or (None, None)),

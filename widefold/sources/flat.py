@@ -20,7 +20,15 @@ SORT_KEYS = {
 RANGE_KEYS = {"client": ["clientId"], "hour": ["hour", "clientId"]}
 
 
-def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: str = "client") -> None:
+#: Rows of a range that a task of a write sorts, as long as that takes no more ranges than the most: up to 200 a
+#: shuffle writes without holding rows in memory (spark.shuffle.sort.bypassMergeThreshold).
+ROWS_PER_RANGE = 100_000
+MOST_RANGES = 200
+
+
+def write_flat(
+    flat: DataFrame, path: str, mode: str = "partitions", sort_key: str = "client", at_most: int | None = None
+) -> None:
     """Write a flat fact as Parquet, one folder per day and tenant, rows sorted inside each file.
 
     mode: 'partitions' replaces the days and tenants that the data holds, so a repeated load gives
@@ -29,12 +37,14 @@ def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: s
     Rows are dealt out by ranges of day, tenant and the first columns of the sort key. A large
     tenant is cut into several files whose ranges follow each other, so that the least and greatest
     values of a file tell whether a query needs it. There are spark.sql.shuffle.partitions ranges;
-    adaptive execution joins small ones.
+    adaptive execution joins small ones. It does so by their bytes in the shuffle, of which a row takes a tenth of
+    what it takes in memory; where at_most, an upper bound of the rows, asks for more ranges than there are
+    cores, ranges are made for so many rows instead.
     """
     modes = {"partitions": ("overwrite", "dynamic"), "replace": ("overwrite", "static"), "append": ("append", "static")}
     save_mode, overwrite = modes[mode]
     (
-        in_order(flat, sort_key)
+        in_order(flat, sort_key, at_most)
         .write.mode(save_mode)
         .option("partitionOverwriteMode", overwrite)
         .option("compression", "zstd")
@@ -43,20 +53,24 @@ def write_flat(flat: DataFrame, path: str, mode: str = "partitions", sort_key: s
     )
 
 
-def in_order(flat: DataFrame, sort_key: str) -> DataFrame:
+def in_order(flat: DataFrame, sort_key: str, at_most: int | None = None) -> DataFrame:
     """The rows with eventDate, dealt out by ranges and sorted as write_flat says."""
     placed = flat.withColumn("eventDate", F.to_date("timestampMs"))
     if sort_key == "hour":
         placed = placed.withColumn("hour", start_of("hour", "timestampMs"))
-    ordered = placed.repartitionByRange(*PARTITION_COLUMNS, *RANGE_KEYS[sort_key]).sortWithinPartitions(
+    ranges = min(MOST_RANGES, (at_most or 0) // ROWS_PER_RANGE + 1)
+    number = [ranges] if ranges > flat.sparkSession.sparkContext.defaultParallelism else []
+    ordered = placed.repartitionByRange(*number, *PARTITION_COLUMNS, *RANGE_KEYS[sort_key]).sortWithinPartitions(
         *PARTITION_COLUMNS, *SORT_KEYS[sort_key]
     )
     return ordered.drop("hour")
 
 
-def write_version(flat: DataFrame, path: str, version: str, sort_key: str = "client") -> None:
+def write_version(
+    flat: DataFrame, path: str, version: str, sort_key: str = "client", at_most: int | None = None
+) -> None:
     """Add a version of the days that the rows hold. It becomes visible with its line in the record."""
-    rows = in_order(flat, sort_key).withColumn(VERSION_COLUMN, F.lit(version))
+    rows = in_order(flat, sort_key, at_most).withColumn(VERSION_COLUMN, F.lit(version))
     rows.write.mode("append").option("compression", "zstd").partitionBy(
         "eventDate", VERSION_COLUMN, "customerId"
     ).parquet(path)
