@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at
 from widefold import fixtures
+from widefold.operators import preagg
 from widefold.plans.day_load import load_days
 from widefold.sources import flat as flat_source
 from widefold.sources import wide as wide_source
@@ -67,3 +68,12 @@ def test_a_task_of_a_load_sorts_a_bounded_range(spark, wide, tmp_path, monkeypat
     again = load_days(fact.where("customerId = 1"), str(tmp_path / "flat"))
     assert again.flat.count() == 400
     assert again.flat.select("timestampMs", "clientId").exceptAll(fact.select("timestampMs", "clientId")).count() == 0
+
+
+def test_a_group_is_shuffled_with_one_list_per_kind(wide):
+    fact = wide([{"clientId": "a", "metricIntGroup1": {"x": 2}, "metricIntGroup9": {"x": 3, "y": 1}}] * 2 + [{"clientId": "b"}])
+    rows = preagg.preaggregate(fact)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("partial_collect_list(") <= 2 * plan.count("ObjectHashAggregate(")
+    got = {r["clientId"]: (r["metricIntGroup1"], r["metricIntGroup2"], r["metricIntGroup9"]) for r in rows.collect()}
+    assert got == {"a": ({"x": 4}, {}, {"x": 6, "y": 2}), "b": ({}, {}, {})}

@@ -60,23 +60,34 @@ def sum_map_long(fact: DataFrame, kind: str, grain: str = "minute") -> DataFrame
 
 def sum_maps(fact: DataFrame, kinds: tuple[str, ...] = ("int", "float"), grain: str = "minute") -> DataFrame:
     """The same sums as maps, one column per map column, empty where a group has no entry."""
-    return summed_entries(fact, kinds, grain).groupBy(*GROUP_KEYS).agg(*map_columns(kinds))
+    grouped = summed_entries(fact, kinds, grain).groupBy(*GROUP_KEYS).agg(*entry_lists(kinds))
+    return grouped.select(*GROUP_KEYS, *map_columns(kinds))
 
 
 def summed_entries(fact: DataFrame, kinds: tuple[str, ...], grain: str) -> DataFrame:
     return union_all([sum_map_long(fact, k, grain).withColumnRenamed("value", f"{k}_value") for k in kinds])
 
 
-def map_columns(kinds: tuple[str, ...]) -> list[Column]:
-    """Aggregates that gather the summed entries of a group into its map columns.
+def entry_lists(kinds: tuple[str, ...]) -> list[Column]:
+    """Aggregates that gather the summed entries of a group, one list per kind.
 
     The sums of a group number at most its distinct keys, so the lists collected here do not grow
-    with its rows.
+    with its rows. A list per map column would be shuffled with each row, empty or not.
     """
     return [
         F.expr(
-            f"map_from_entries(collect_list(struct(key, {kind}_value))"
-            f" FILTER (WHERE group_no = {n} AND {kind}_value IS NOT NULL)) AS {name}"
+            f"collect_list(struct(group_no, key, {kind}_value)) FILTER (WHERE {kind}_value IS NOT NULL) AS {kind}_entries"
+        )
+        for kind in kinds
+    ]
+
+
+def map_columns(kinds: tuple[str, ...]) -> list[Column]:
+    """The map columns of a group from its lists."""
+    return [
+        F.expr(
+            f"map_from_entries(transform(filter({kind}_entries, e -> e.group_no = {n}),"
+            f" e -> struct(e.key AS key, e.{kind}_value AS value))) AS {name}"
         )
         for kind in kinds
         for n, name in enumerate(group_columns(kind), 1)
@@ -90,9 +101,11 @@ def preaggregate(fact: DataFrame, grain: str = "minute", kinds: tuple[str, ...]
     """
     rows = at_grain(fact, grain, snapshot_struct().alias("snapshot"))
     grouped = union_all([rows, summed_entries(fact, kinds, grain)]).groupBy(*GROUP_KEYS).agg(
-        F.min("snapshot").alias("snapshot"), *map_columns(kinds)
+        F.min("snapshot").alias("snapshot"), *entry_lists(kinds)
+    )
+    joined = grouped.select(
+        *GROUP_KEYS, *[F.col(f"snapshot.{c}").alias(c) for c in SNAPSHOT_COLUMNS], *map_columns(kinds)
     )
-    joined = grouped.select("*", *[F.col(f"snapshot.{c}").alias(c) for c in SNAPSHOT_COLUMNS])
     value_types = {"int": "BIGINT", "float": "DOUBLE"}
     maps = [
         f"coalesce({g}, CAST(map() AS MAP<STRING, {value_types[kind]}>)) AS {g}" for kind in kinds for g in group_columns(kind)
