@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import at
 from widefold import fixtures
 from widefold.operators import preagg
+from widefold.plans import day_load, task_size
 from widefold.plans.day_load import load_days
 from widefold.sources import flat as flat_source
 from widefold.sources import wide as wide_source
@@ -77,3 +78,42 @@ def test_a_group_is_shuffled_with_one_list_per_kind(wide):
     assert 0 < plan.count("partial_collect_list(") <= 2 * plan.count("ObjectHashAggregate(")
     got = {r["clientId"]: (r["metricIntGroup1"], r["metricIntGroup2"], r["metricIntGroup9"]) for r in rows.collect()}
     assert got == {"a": ({"x": 4}, {}, {"x": 6, "y": 2}), "b": ({}, {}, {})}
+
+
+
+def loaded_files(spark, wide, tmp_path, monkeypatch):
+    monkeypatch.setattr(wide_source, "ROWS_PER_FILE", 5)
+    wide_source.write_wide(rows_of_days(wide, 400).coalesce(1), str(tmp_path / "wide"))
+    return wide_source.read_wide(spark, str(tmp_path / "wide"), by_date=True)
+
+
+def test_a_load_reads_few_files_in_a_task(spark, wide, tmp_path, monkeypatch):
+    fact, seen = loaded_files(spark, wide, tmp_path, monkeypatch), []
+    write = day_load.write_version
+
+    def watched(*args):
+        seen.append(wide_source.read_wide(spark, str(tmp_path / "wide"), by_date=True).rdd.getNumPartitions())
+        write(*args)
+
+    monkeypatch.setattr(day_load, "write_version", watched)
+    names = (task_size.SHUFFLED, task_size.OPEN_COST)
+    before = [spark.conf.get(n, None) for n in names]
+    load = load_days(fact, str(tmp_path / "flat"))
+    assert len(fact.inputFiles()) >= 80 and seen[0] >= len(fact.inputFiles()) // task_size.FILES_PER_TASK
+    assert [spark.conf.get(n, None) for n in names] == before and load.flat.count() == 400
+
+
+
+
+def test_stricter_settings_of_the_session_stay(spark):
+    names = {task_size.SHUFFLED: "16k", task_size.OPEN_COST: "1g"}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    try:
+        with pytest.raises(ZeroDivisionError), task_size.small_tasks(spark):
+            inside = [spark.conf.get(n) for n in names]
+            1 / 0
+        assert inside == ["16384b", f"{1 << 30}b"] and [spark.conf.get(n) for n in names] == ["16k", "1g"]
+    finally:
+        for n in names:
+            spark.conf.unset(n)

@@ -13,6 +13,7 @@ from widefold.operators.discovery import discover_entries, tenants_of
 from widefold.operators.flatten import flatten
 from widefold.operators.mapping import KeyMapping, discover_mapping, extended_mapping
 from widefold.plans.small_side import join_lookup, materialise
+from widefold.plans.task_size import small_tasks
 from widefold.sources.flat import read_flat, write_version
 from widefold.sources.loads import Record, add_to_record, days_of_version, new_version, read_record
 from widefold.sources.mappings import add_to_mapping, has_mapping, read_mapping, write_mapping
@@ -79,7 +80,8 @@ def load_days(
     version = new_version(known)
     # Groups are no more than raw rows, which a count tells from the range and tenants alone.
     at_most = rows.count() + (0 if kept is None else kept.count())
-    write_version(flat if kept is None else flat.unionByName(kept.drop("eventDate")), path, version, sort_key, at_most)
+    with small_tasks(spark):
+        write_version(flat if kept is None else flat.unionByName(kept.drop("eventDate")), path, version, sort_key, at_most)
     written = days_of_version(spark, path, version)
     record = add_to_record(
         spark, path, known, _live(known, version, written, span, mode, tenants), version, mode, grain, *(span or (None, None)),
