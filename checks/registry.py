@@ -39,6 +39,7 @@ from widefold.operators import (
 from widefold.operators.mapping import KeyMapping
 from widefold.plans.small_side import materialise
 from widefold.plans.stored import Stored, stored
+from widefold.plans.task_size import materialise_in_small_tasks
 from widefold.sources.mappings import tag_document
 from widefold.sources.wide import count_where, scan, without_excluded
 
@@ -88,7 +89,9 @@ def unmapped(t: Stored) -> DataFrame:
 
 
 def flattened(grain: str, conflict: str = "last") -> Query:
-    return on_tables(lambda t: plain_floats(flatten.flatten(t.wide, t.mapping, t.entries, grain, conflict)))
+    return on_tables(
+        lambda t: plain_floats(materialise_in_small_tasks(flatten.flatten(t.wide, t.mapping, t.entries, grain, conflict)))
+    )
 
 
 # ---- metric queries ---------------------------------------------------------------------------

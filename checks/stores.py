@@ -16,8 +16,9 @@ from widefold.model import GROUP_KEYS, column_class, flat_schema, group_columns
 from widefold.operators import flatten, logs, metrics, preagg, timing
 from widefold.plans import checksums, key_catalogue, stored_views
 from widefold.plans.day_load import Load, load_days
-from widefold.plans.small_side import materialise, shared_folder
+from widefold.plans.small_side import shared_folder
 from widefold.plans.stored import Stored
+from widefold.plans.task_size import materialise_in_small_tasks
 from widefold.sources import flat as flat_source
 from widefold.sources import mappings
 from widefold.sources.logs import read_logs
@@ -117,12 +118,16 @@ def metric_by_catalogue(t: Stored) -> DataFrame:
 
 def coarser(t: Stored, grains: list[str]) -> DataFrame:
     """The flat fact of the last grain, each grain made from the one before it."""
-    state = flatten.summed_state(t.wide, t.mapping, t.entries, grains[0])
+    state = stored_groups(flatten.summed_state(t.wide, t.mapping, t.entries, grains[0]))
     for grain in grains[1:]:
-        state = flatten.coarser_state(dataclasses.replace(state, rows=materialise(state.rows)), grain)
+        state = stored_groups(flatten.coarser_state(state, grain))
     return plain_floats(flatten.positional(state))
 
 
+def stored_groups(state: flatten.SummedState) -> flatten.SummedState:
+    return dataclasses.replace(state, rows=materialise_in_small_tasks(state.rows))
+
+
 def stored_view(t: Stored) -> DataFrame:
     """Tenant 1 through its stored view, after a first load that lacks some keys and a second one."""
     spark, path, name = t.wide.sparkSession, new_folder(t.wide.sparkSession), f"flat_{uuid.uuid4().hex}"

@@ -4,11 +4,13 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from checks import stores
 from tests.conftest import at
 from widefold import fixtures
 from widefold.operators import preagg
 from widefold.plans import day_load, task_size
 from widefold.plans.day_load import load_days
+from widefold.plans.stored import Stored
 from widefold.sources import flat as flat_source
 from widefold.sources import wide as wide_source
 
@@ -80,6 +82,22 @@ def test_a_group_is_shuffled_with_one_list_per_kind(wide):
     assert got == {"a": ({"x": 4}, {}, {"x": 6, "y": 2}), "b": ({}, {}, {})}
 
 
+@pytest.fixture()
+def pieces(spark, monkeypatch):
+    """Shuffles of 40 pieces, which adaptive execution joins by their bytes alone; small tasks join none."""
+    names = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+    }
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    monkeypatch.setattr(task_size, "SHUFFLED_BYTES", 1)
+    yield
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
 
 def loaded_files(spark, wide, tmp_path, monkeypatch):
     monkeypatch.setattr(wide_source, "ROWS_PER_FILE", 5)
@@ -103,6 +121,15 @@ def test_a_load_reads_few_files_in_a_task(spark, wide, tmp_path, monkeypatch):
     assert [spark.conf.get(n, None) for n in names] == before and load.flat.count() == 400
 
 
+def test_states_of_a_grain_are_grouped_by_small_tasks(spark, wide, tmp_path, monkeypatch, pieces):
+    fact = loaded_files(spark, wide, tmp_path, monkeypatch).withColumn(
+        "metricIntGroup1", F.create_map(F.lit("k"), F.lit(2))
+    )
+    load = load_days(fact, str(tmp_path / "flat"))
+    hours = stores.coarser(Stored(fact, load.flat, load.mapping, load.entries), ["minute", "hour"])
+    assert len(hours.inputFiles()) > 20
+    assert hours.count() == 400 and hours.agg(F.sum("int1")).first()[0] == 800
+
 
 
 def test_stricter_settings_of_the_session_stay(spark):
