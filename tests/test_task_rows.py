@@ -8,7 +8,7 @@ from checks import stores
 from tests.conftest import at
 from widefold import fixtures
 from widefold.operators import preagg
-from widefold.plans import day_load, task_size
+from widefold.plans import checksums, day_load, task_size
 from widefold.plans.day_load import load_days
 from widefold.plans.stored import Stored
 from widefold.sources import flat as flat_source
@@ -131,6 +131,13 @@ def test_states_of_a_grain_are_grouped_by_small_tasks(spark, wide, tmp_path, mon
     assert hours.count() == 400 and hours.agg(F.sum("int1")).first()[0] == 800
 
 
+def test_tables_are_compared_by_small_tasks(spark, wide, tmp_path, pieces):
+    fact, paths = rows_of_days(wide, 400), [str(tmp_path / n) for n in ("left", "right")]
+    other = fact.withColumn("platform", F.lit("web"))
+    left, right = (load_days(f, p).flat for f, p in zip((fact, other), paths, strict=True))
+    found = checksums.compare_tables(spark, *paths, left, right)
+    assert found.count() == 400 and len(found.inputFiles()) > 20
+
 
 def test_stricter_settings_of_the_session_stay(spark):
     names = {task_size.SHUFFLED: "16k", task_size.OPEN_COST: "1g"}

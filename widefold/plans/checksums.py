@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from widefold.model import GROUP_KEYS
 from widefold.plans.small_side import join_lookup, materialise
+from widefold.plans.task_size import materialise_in_small_tasks
 from widefold.sources.flat import read_versions
 from widefold.sources.loads import VERSION_COLUMN, read_record
 
@@ -152,6 +153,6 @@ def differing_rows(left: DataFrame, right: DataFrame, parts: DataFrame) -> DataF
 
 
 def compare_tables(spark: SparkSession, left_path: str, right_path: str, left: DataFrame, right: DataFrame) -> DataFrame:
-    """differing_rows of two loaded tables, whose rows are left and right."""
+    """differing_rows of two loaded tables, whose rows are left and right, stored."""
     sums = [table_sums(spark, p, df.drop("eventDate").schema) for p, df in ((left_path, left), (right_path, right))]
-    return differing_rows(left, right, differing_parts(*sums))
+    return materialise_in_small_tasks(differing_rows(left, right, differing_parts(*sums)))
