@@ -18,7 +18,7 @@ from widefold.plans import checksums, key_catalogue, stored_views
 from widefold.plans.day_load import Load, load_days
 from widefold.plans.small_side import shared_folder
 from widefold.plans.stored import Stored
-from widefold.plans.task_size import materialise_in_small_tasks
+from widefold.plans.task_size import materialise_in_small_tasks, small_tasks
 from widefold.sources import flat as flat_source
 from widefold.sources import mappings
 from widefold.sources.logs import read_logs
@@ -219,7 +219,8 @@ def log_lines(t: Stored) -> DataFrame:
     """The load log written as text, one file per log with its lines in order, and read back."""
     path = new_folder(t.wide.sparkSession)
     lines = load_log(t.wide).repartition("log_id").sortWithinPartitions("log_id", "block", "pos")
-    lines.select("log_id", "value").write.partitionBy("log_id").text(path)
+    with small_tasks(t.wide.sparkSession):
+        lines.select("log_id", "value").write.partitionBy("log_id").text(path)
     return read_logs(t.wide.sparkSession, f"{path}/*")
 
 

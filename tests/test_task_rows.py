@@ -151,3 +151,16 @@ def test_stricter_settings_of_the_session_stay(spark):
     finally:
         for n in names:
             spark.conf.unset(n)
+
+
+def test_a_load_log_is_made_by_small_tasks(spark, wide, tmp_path, monkeypatch):
+    fact = loaded_files(spark, wide, tmp_path, monkeypatch)
+    spark.sparkContext.setJobGroup("log of small tasks", "")
+    try:
+        lines = stores.log_lines(Stored(fact, fact, None, fact))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("log of small tasks") for s in tracker.getJobInfo(j).stageIds]
+    tasks = max(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
+    assert tasks >= len(fact.inputFiles()) // task_size.FILES_PER_TASK and lines.where("value LIKE '%completed%'").count() > 1
